@@ -26,7 +26,7 @@ _SALT = "__salt"
 
 def planned_size(df: DataFrame) -> int:
     """Bytes the optimizer expects from ``df``; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def may_broadcast(df: DataFrame) -> bool:
