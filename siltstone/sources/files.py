@@ -20,16 +20,18 @@ FORMATS = {
     "parquet": "parquet",
 }
 LOOKUP_FORMATS = ("csv", "parquet", "json", "jsonl")
+# Spark sources that can deliver a whole record as one variant.
+VARIANT_SOURCES = ("json", "csv")
 
 
 def reader_options(ingest: Ingest, call_options: Mapping[str, str] | None = None) -> dict[str, str]:
     """Reader options; later ones win: defaults, format, variant column, spec, call."""
     options: dict[str, str] = {}
-    if ingest.format == "csv" and not ingest.single_variant:
+    if ingest.format == "csv" and not _whole_record(ingest):
         options.update(header="true", inferSchema="true")
     if ingest.format == "json":
         options["multiLine"] = str(ingest.multiline).lower()
-    if ingest.single_variant:
+    if _whole_record(ingest):
         options["singleVariantColumn"] = "data"
     options.update({k: str(v) for k, v in ingest.options.items()})
     options.update({k: str(v) for k, v in (call_options or {}).items()})
@@ -42,10 +44,15 @@ def _source(ingest: Ingest) -> str:
     return FORMATS[ingest.format]
 
 
+def _whole_record(ingest: Ingest) -> bool:
+    """Whether the reader itself makes the variant; other sources make it in a select pass."""
+    return ingest.single_variant and _source(ingest) in VARIANT_SOURCES
+
+
 def _declared_schema(ingest: Ingest) -> str | None:
     if ingest.schema:
         return ingest.schema
-    if ingest.single_variant:
+    if _whole_record(ingest):
         return "data variant"
     return "value string" if _source(ingest) == "text" else None
 

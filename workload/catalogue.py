@@ -1,7 +1,7 @@
 """All registered queries."""
 
-from workload import joins, layers, normalising, vendors
+from workload import checks, joins, layers, normalising, streams, vendors
 from workload.base import ORACLES, QUERIES
 from workload.layers import flagship
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "joins", "layers", "normalising", "vendors"]
+__all__ = ["ORACLES", "QUERIES", "checks", "flagship", "joins", "layers", "normalising", "streams", "vendors"]
