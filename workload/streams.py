@@ -35,9 +35,14 @@ def own_database(spark: SparkSession):
             spark.conf.unset(setting)
 
 
+def _stream_path(sf: str, name: str) -> str:
+    """A file stream takes a folder or a pattern; the table may be one file or a folder."""
+    return f"{sf}/[{name[0]}]{name[1:]}.parquet"
+
+
 def _events(sf: str) -> Flow:
     flow = events_flow()
-    return dataclasses.replace(flow, ingest=dataclasses.replace(flow.ingest, inputs=(f"{sf}/events.parquet",)))
+    return dataclasses.replace(flow, ingest=dataclasses.replace(flow.ingest, inputs=(_stream_path(sf, "events"),)))
 
 
 def _orders(sf: str) -> Flow:
@@ -59,7 +64,7 @@ def _orders(sf: str) -> Flow:
         log_name="orders",
         ingest=Ingest(
             name="orders_bronze",
-            inputs=(f"{sf}/orders.parquet",),
+            inputs=(_stream_path(sf, "orders"),),
             format="parquet",
             pre=(
                 (
