@@ -41,8 +41,43 @@ def first_match(rules: Iterable[tuple[Column, Any]], default: Any = None) -> Col
 
 
 def missing_as_null(value: Column, marker: str = "-") -> Column:
-    """The marker a format uses for 'no value' becomes NULL."""
-    return F.nullif(value, F.lit(marker))
+    """The marker a format uses for 'no value' becomes NULL.
+
+    ``value`` is named twice, so it should be a column or struct member.  ``nullif``
+    would define it as a common expression of its own, and the optimizer then merges the
+    projections around it and computes shared inputs once per field.
+    """
+    return F.when(value != marker, value)
+
+
+def record(members: Mapping[str | tuple[str, ...], str], data: str | Column = "data") -> Column:
+    """All wanted members of a variant record as one struct, read in a single pass.
+
+    ``members`` maps a path to a type; a dotted path descends, a tuple holds keys that
+    have dots themselves.  A member that is absent, or not of its type, is NULL, just as
+    with one ``try_variant_get`` per member, at a fraction of the time.
+    """
+    tree: dict[str, Any] = {}
+    for path, kind in members.items():
+        *parents, leaf = path.split(".") if isinstance(path, str) else path
+        branch = tree
+        for key in parents:
+            branch = branch.setdefault(key, {})
+        branch[leaf] = kind
+    return F.try_variant_get(data, "$", _shape(tree))
+
+
+def _shape(tree: Mapping[str, Any]) -> str:
+    members = (f"`{key}`:{_shape(kind) if isinstance(kind, Mapping) else kind}" for key, kind in tree.items())
+    return f"struct<{','.join(members)}>"
+
+
+def member(path: str | tuple[str, ...], of: str = "record") -> Column:
+    """A member of a struct that ``record`` made."""
+    column = F.col(of)
+    for key in path.split(".") if isinstance(path, str) else path:
+        column = column.getField(key)
+    return column
 
 
 def text(path: str, data: str | Column = "data") -> Column:
@@ -315,5 +350,6 @@ def ios_parts(line: Column) -> Column:
 
 
 def ios_time(line: Column) -> Column:
+    """Time of an IOS line; a one-digit day is padded with a second blank."""
     found = F.regexp_extract(line, r"(\w+\s+\d+\s+\d+\s+\d+:\d+:\d+)", 1)
-    return F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit("MMM d yyyy HH:mm:ss"))
+    return F.try_to_timestamp(F.regexp_replace(found, r"\s+", " "), F.lit("MMM d yyyy HH:mm:ss"))

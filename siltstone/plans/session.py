@@ -9,6 +9,21 @@ from pyspark.sql import SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
+# Class mappings compute some forty columns at once.  Fused into one generated method
+# they pass the size up to which the JVM compiles a method (8000 bytes of bytecode), and
+# would run interpreted; above this limit Spark generates smaller methods instead.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the session settings mappings are written for; all can change at run time."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach, as the cluster names it.

@@ -148,7 +148,7 @@ def mapping_coverage(mapped: DataFrame, event_class: str) -> DataFrame:
         "entry.column",
         "entry.mapped",
         "rows",
-        F.round(F.col("entry.filled") * 100 / F.nullif(F.col("rows"), F.lit(0)), 1).alias("filled_pct"),
+        F.when(F.col("rows") > 0, F.round(F.col("entry.filled") * 100 / F.col("rows"), 1)).alias("filled_pct"),
     )
 
 

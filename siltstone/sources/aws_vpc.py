@@ -73,18 +73,17 @@ def flow(*inputs: str) -> Flow:
 
 
 def parsed() -> SilverSpec:
-    readers = {
-        **{key: lambda path: n.missing_as_null(n.text(path)) for key in TEXTS},
-        **{key: n.number for key in INTS},
-        **{key: lambda path: n.number(path, "bigint") for key in LONGS},
-    }
+    kinds = {**dict.fromkeys(TEXTS, "string"), **dict.fromkeys(INTS, "int"), **dict.fromkeys(LONGS, "bigint")}
+    columns = {}
+    for key, kind in kinds.items():
+        value = n.member((key,))
+        columns[RENAMED.get(key, key.replace("-", "_"))] = n.missing_as_null(value) if kind == "string" else value
     return SilverSpec(
         name=PARSED,
         filter=F.col("data").isNotNull(),
         preserve=True,
-        fields=fields(
-            {RENAMED.get(key, key.replace("-", "_")): read(f"$.{key}") for key, read in readers.items()}
-        ),
+        temporary=(Field("record", n.record(kinds)),),
+        fields=fields(columns),
     )
 
 

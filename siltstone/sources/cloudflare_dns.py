@@ -69,21 +69,29 @@ def flow(*inputs: str) -> Flow:
     )
 
 
+# The type each key is read as.
+KINDS = {
+    **dict.fromkeys((*TEXTS, *INTS, *BOOLEANS, *RECORD_LISTS), "string"),
+    **dict.fromkeys(TEXT_LISTS, "array<string>"),
+    **dict.fromkeys(INT_LISTS, "array<int>"),
+}
+
+
 def _parsed_columns() -> dict:
     records = "array<map<string,string>>"
     columns = {
-        **{key: n.text(f"$.{key}") for key in TEXTS},
-        **{key: n.text(f"$.{key}").try_cast("int") for key in INTS},
-        **{key: n.text(f"$.{key}").try_cast("boolean") for key in BOOLEANS},
-        **{key: n.number(f"$.{key}", "array<string>") for key in TEXT_LISTS},
-        **{key: n.number(f"$.{key}", "array<int>") for key in INT_LISTS},
-        **{key: F.from_json(n.text(f"$.{key}"), records) for key in RECORD_LISTS},
+        **{key: n.member(key) for key in (*TEXTS, *TEXT_LISTS, *INT_LISTS)},
+        **{key: n.member(key).try_cast("int") for key in INTS},
+        **{key: n.member(key).try_cast("boolean") for key in BOOLEANS},
+        **{key: F.from_json(n.member(key), records) for key in RECORD_LISTS},
     }
     return dict(sorted(columns.items(), key=lambda item: item[0].lower()))
 
 
 def parsed() -> SilverSpec:
-    return SilverSpec(name=PARSED, preserve=True, fields=fields(_parsed_columns()))
+    return SilverSpec(
+        name=PARSED, preserve=True, temporary=(Field("record", n.record(KINDS)),), fields=fields(_parsed_columns())
+    )
 
 
 def dns_activity() -> GoldSpec:
@@ -142,7 +150,7 @@ def dns_activity() -> GoldSpec:
                     n.observables_of("resolved_ip", "IP Address", col("ResolvedIPs")),
                 ),
                 "raw_data": n.raw_record(col("data")),
-                "unmapped": n.unmapped([name for name in _parsed_columns() if name not in MAPPED]),
+                "unmapped": n.unmapped(sorted((name for name in KINDS if name not in MAPPED), key=str.lower)),
                 "connection_info.uid": col("QueryID"),
                 "connection_info.protocol_name": F.lower("Protocol"),
                 "connection_info.protocol_num": n.protocol_number(col("Protocol"), codes.DNS_TRANSPORT_NUMBERS),

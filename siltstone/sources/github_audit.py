@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import codes
 from siltstone.functions import normalize as n
-from siltstone.plans.spec import Flow, GoldSpec, Ingest, SilverSpec, fields
+from siltstone.plans.spec import Field, Flow, GoldSpec, Ingest, SilverSpec, fields
 
 PARSED = "github_audit_logs_silver"
 
@@ -33,6 +33,7 @@ TEXT_PATHS = {
     "team": "data.team",
     "visibility": "data.visibility",
 }
+NUMBER_PATHS = {"created_at": "bigint", "data.hook_id": "int"}
 # Parsed columns kept as leftovers.
 LEFTOVERS = (
     "event_id action created_at_ms actor user organization repository actor_country_code actor_country "
@@ -116,11 +117,14 @@ def parsed() -> SilverSpec:
     return SilverSpec(
         name=PARSED,
         preserve=True,
+        temporary=(
+            Field("record", n.record({**dict.fromkeys(TEXT_PATHS.values(), "string"), **NUMBER_PATHS})),
+        ),
         fields=fields(
             {
-                **{name: n.text(f"$.{path}") for name, path in TEXT_PATHS.items()},
-                "created_at_ms": n.number("$.created_at", "bigint"),
-                "hook_id": n.number("$.data.hook_id"),
+                **{name: n.member(path) for name, path in TEXT_PATHS.items()},
+                "created_at_ms": n.member("created_at"),
+                "hook_id": n.member("data.hook_id"),
             }
         ),
     )

@@ -43,6 +43,7 @@ TEXT_PATHS = {
     "debug_request_uri": "debugContext.debugData.requestUri",
     "debug_request_id": "debugContext.debugData.requestId",
 }
+PROXY = "securityContext.isProxy"
 TARGETS = "array<struct<id:string,type:string,alternateId:string,displayName:string>>"
 
 # Event types of each class.
@@ -105,11 +106,14 @@ def parsed() -> SilverSpec:
     return SilverSpec(
         name=PARSED,
         preserve=True,
-        temporary=(Field("targets", F.from_json(F.to_json(F.try_variant_get("data", "$.target", "variant")), TARGETS)),),
+        temporary=(
+            Field("record", n.record({**dict.fromkeys(TEXT_PATHS.values(), "string"), PROXY: "string"})),
+            Field("targets", F.from_json(F.to_json(F.try_variant_get("data", "$.target", "variant")), TARGETS)),
+        ),
         fields=fields(
             {
-                **{name: n.text(f"$.{path}") for name, path in TEXT_PATHS.items()},
-                "sec_is_proxy": n.text("$.securityContext.isProxy").try_cast("boolean"),
+                **{name: n.member(path) for name, path in TEXT_PATHS.items()},
+                "sec_is_proxy": n.member(PROXY).try_cast("boolean"),
                 "target_user_id": first("User", "id"),
                 "target_user_alternate_id": first("User", "alternateId"),
                 "target_user_display_name": first("User", "displayName"),

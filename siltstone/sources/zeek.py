@@ -10,6 +10,25 @@ from siltstone.plans.spec import Field, Flow, GoldSpec, Ingest, SilverSpec, fiel
 
 PARSED = "zeek_conn_silver"
 
+# Parsed column -> record key (keys hold dots) and type.
+ENDS = {
+    "id_origin_host": (("id.orig_h",), "string"),
+    "id_origin_port": (("id.orig_p",), "int"),
+    "id_response_host": (("id.resp_h",), "string"),
+    "id_response_port": (("id.resp_p",), "int"),
+    "conn_state": (("conn_state",), "string"),
+}
+# Record keys read while mapping, by type.
+DETAILS = {
+    **dict.fromkeys("uid proto history service orig_l2_addr resp_l2_addr tunnel_parents".split(), "string"),
+    **dict.fromkeys(
+        "orig_bytes resp_bytes orig_pkts resp_pkts missed_bytes orig_ip_bytes resp_ip_bytes".split(), "bigint"
+    ),
+    **dict.fromkeys(("vlan", "inner_vlan"), "int"),
+    **dict.fromkeys(("local_orig", "local_resp"), "boolean"),
+    "duration": "double",
+}
+
 
 def flow(*inputs: str) -> Flow:
     return Flow(
@@ -39,15 +58,8 @@ def parsed() -> SilverSpec:
     return SilverSpec(
         name=PARSED,
         preserve=True,
-        fields=fields(
-            {
-                "id_origin_host": n.text("$['id.orig_h']"),
-                "id_origin_port": n.number("$['id.orig_p']"),
-                "id_response_host": n.text("$['id.resp_h']"),
-                "id_response_port": n.number("$['id.resp_p']"),
-                "conn_state": n.text("$.conn_state"),
-            }
-        ),
+        temporary=(Field("record", n.record({key: kind for key, kind in ENDS.values()})),),
+        fields=fields({name: n.member(key) for name, (key, _) in ENDS.items()}),
     )
 
 
@@ -57,22 +69,13 @@ def _by_state(position: int, default):
 
 def network_activity() -> GoldSpec:
     src, dst, state = F.col("id_origin_host"), F.col("id_response_host"), F.col("conn_state")
-    count = lambda name: n.number(f"$.{name}", "bigint")
-    duration = n.number("$.duration", "double")
     activity = n.lookup(F.col("activity_id"), codes.ZEEK_ACTIVITY_NAMES)
     return GoldSpec(
         name="network_activity",
         input=PARSED,
         temporary=(
             Field("direction_code", n.direction_id(src, dst)),
-            Field("uid", n.text("$.uid")),
-            Field("proto", n.text("$.proto")),
-            Field("history", n.text("$.history")),
-            Field("bytes_back", count("resp_bytes")),
-            Field("bytes_out", count("orig_bytes")),
-            Field("packets_back", count("resp_pkts")),
-            Field("packets_out", count("orig_pkts")),
-            Field("seconds", duration),
+            Field("record", n.record(DETAILS)),
         ),
         fields=fields(
             {
@@ -91,7 +94,7 @@ def network_activity() -> GoldSpec:
                 "type_name": n.type_name("Network Activity", F.col("activity_name")),
                 "start_time": F.col("time"),
                 # Whole seconds, as the source log's end is derived from a rounded start.
-                "end_time": F.timestamp_seconds((F.unix_seconds("time") + F.col("seconds")).cast("bigint")),
+                "end_time": F.timestamp_seconds((F.unix_seconds("time") + n.member("duration")).cast("bigint")),
                 "timezone_offset": n.null_of("int"),
                 "status_id": n.first_match([(F.col("activity_id") == 4, 2)], 1),
                 "status": n.status_name(F.col("status_id")),
@@ -101,48 +104,46 @@ def network_activity() -> GoldSpec:
                     "Network connection ", F.col("activity_name"),
                     " from ", (src, "unknown"), ":", (F.col("id_origin_port"), "?"),
                     " to ", (dst, "unknown"), ":", (F.col("id_response_port"), "?"),
-                    " (", (F.upper("proto"), "unknown"), ") - ", F.col("status_detail"),
+                    " (", (F.upper(n.member("proto")), "unknown"), ") - ", F.col("status_detail"),
                 ),
                 **n.metadata(
                     "Zeek Conn", "Zeek", "zeek", "conn", "JSON",
-                    uid=F.col("uid"),
+                    uid=n.member("uid"),
                     processed_time=F.current_timestamp(),
                     logged_time=F.col("time"),
                 ),
                 "src_endpoint.ip": src,
                 "src_endpoint.port": F.col("id_origin_port"),
-                "src_endpoint.mac": n.text("$.orig_l2_addr"),
+                "src_endpoint.mac": n.member("orig_l2_addr"),
                 "dst_endpoint.ip": dst,
                 "dst_endpoint.port": F.col("id_response_port"),
-                "dst_endpoint.svc_name": n.text("$.service"),
-                "dst_endpoint.mac": n.text("$.resp_l2_addr"),
-                "connection_info.uid": F.col("uid"),
-                "connection_info.protocol_name": F.lower("proto"),
-                "connection_info.protocol_num": n.protocol_number(F.col("proto")),
-                "connection_info.flag_history": F.col("history"),
+                "dst_endpoint.svc_name": n.member("service"),
+                "dst_endpoint.mac": n.member("resp_l2_addr"),
+                "connection_info.uid": n.member("uid"),
+                "connection_info.protocol_name": F.lower(n.member("proto")),
+                "connection_info.protocol_num": n.protocol_number(n.member("proto")),
+                "connection_info.flag_history": n.member("history"),
                 "connection_info.direction_id": F.col("direction_code"),
                 "connection_info.direction": n.direction_name(F.col("direction_code")),
-                "traffic.bytes_in": F.col("bytes_back"),
-                "traffic.bytes_out": F.col("bytes_out"),
-                "traffic.bytes": F.col("bytes_back") + F.col("bytes_out"),
-                "traffic.packets_in": F.col("packets_back"),
-                "traffic.packets_out": F.col("packets_out"),
-                "traffic.packets": F.col("packets_out") + F.col("packets_back"),
-                "traffic.bytes_missed": count("missed_bytes"),
+                "traffic.bytes_in": n.member("resp_bytes"),
+                "traffic.bytes_out": n.member("orig_bytes"),
+                "traffic.bytes": n.member("resp_bytes") + n.member("orig_bytes"),
+                "traffic.packets_in": n.member("resp_pkts"),
+                "traffic.packets_out": n.member("orig_pkts"),
+                "traffic.packets": n.member("orig_pkts") + n.member("resp_pkts"),
+                "traffic.bytes_missed": n.member("missed_bytes"),
                 "raw_data": n.raw_record(F.col("data")),
                 "unmapped": n.unmapped(
                     {
-                        "uid": F.col("uid"),
+                        "uid": n.member("uid"),
                         "conn_state": state,
-                        "local_orig": n.number("$.local_orig", "boolean"),
-                        "local_resp": n.number("$.local_resp", "boolean"),
-                        "history": F.col("history"),
-                        "orig_ip_bytes": count("orig_ip_bytes"),
-                        "resp_ip_bytes": count("resp_ip_bytes"),
-                        "tunnel_parents": n.text("$.tunnel_parents"),
-                        "duration": F.col("seconds"),
-                        "vlan": n.number("$.vlan"),
-                        "inner_vlan": n.number("$.inner_vlan"),
+                        **{
+                            name: n.member(name)
+                            for name in (
+                                "local_orig", "local_resp", "history", "orig_ip_bytes", "resp_ip_bytes",
+                                "tunnel_parents", "duration", "vlan", "inner_vlan",
+                            )
+                        },
                     }
                 ),
             }

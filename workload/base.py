@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.plans.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,8 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return build(spark, sf_dir)
+            return build(configure(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
