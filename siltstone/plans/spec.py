@@ -164,6 +164,7 @@ class Ingest:
     def payload(self) -> str:
         return "data" if self.single_variant else "value"
 
+    # Key names of the mapping form are fixed values: existing flow files use them.
     @classmethod
     def from_dict(cls, flow_name: str, reader: Mapping[str, Any], conf: Mapping[str, Any]) -> Ingest:
         if "format" not in reader:

@@ -9,9 +9,10 @@ from siltstone.plans.chain import run_batch, summary
 from siltstone.plans.ocsf import conform, mapping_problems
 from siltstone.plans.spec import GoldSpec, fields
 from siltstone.functions import normalize as n
+from siltstone.operators.ingest import to_bronze
 from siltstone.quality import discover, profile, schema
 from workload.base import query, table
-from workload.layers import event_activity, events_bronze, events_flow, events_silver
+from workload.layers import events_bronze, events_flow
 
 
 def labelled_documents(spark, sf):
@@ -194,8 +195,6 @@ def layer_summary(spark, sf):
 )
 def end_to_end_sample(spark, sf):
     """A trial run: the row cap is the feature, all layers run on the capped rows."""
-    from siltstone.operators.ingest import to_bronze
-
     capped = table(spark, sf, "events").select("*", "_metadata").limit(100)
     flow = events_flow()
     return summary(run_batch(spark, flow, bronze=to_bronze(capped, flow.ingest)))
@@ -289,5 +288,3 @@ def rows_as_json(spark, sf):
     rows = discover.rows_as_json(suppliers, where="s_nationkey > 10")
     return rows.select(F.from_json("row", suppliers.schema).alias("r")).select("r.s_suppkey", "r.s_name", "r.s_nationkey")
 
-
-__all__ = ["event_activity", "events_silver"]

@@ -15,7 +15,7 @@ from siltstone.plans.ocsf import conform
 from siltstone.plans.session import fresh_dir
 from siltstone.plans.spec import Field, Flow, GoldSpec, Ingest, Lookup, LookupSource, SilverSpec, fields
 from siltstone.sources.files import csv_to_table, read_batch
-from workload.base import flat, instant, iso, pairs, query, table
+from workload.base import flat, instant, iso, query, table
 
 EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value")
 
@@ -683,5 +683,3 @@ def union_sources(spark, sf):
     merged = union_by_class(sources_run(spark, sf))["api_activity"]
     return flat(merged, "metadata.log_name metadata.uid api.operation", time=iso("time"))
 
-
-__all__ = ["flagship", "pairs"]

@@ -10,10 +10,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import normalize as n
-from siltstone.plans.ocsf import class_schema
 from siltstone.plans.session import fresh_dir
 from siltstone.plans.spec import Field, Flow, GoldSpec, Ingest, SilverSpec, fields
-from siltstone.streaming.chain import LAYERS, Placement, lane_of, replay_gold, run_stream
+from siltstone.streaming.chain import LAYERS, Placement, replay_gold, run_stream
 from siltstone.streaming.shared import Lane, SharedTable
 from workload.base import flat, iso, query, table
 from workload.layers import ACTIVITY_SQL, events_flow
@@ -146,5 +145,3 @@ def compaction(spark, sf):
         shared.compact(lane, up_to=3)
     return shared.frame(with_lane=True).select("o_orderkey", "lane_batch")
 
-
-__all__ = ["class_schema", "lane_of"]
