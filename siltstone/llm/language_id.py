@@ -209,11 +209,11 @@ def identify(
 
 
 def recognised(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.02, params: Params = Params()
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.01, params: Params = Params()
 ) -> DataFrame:
     """The documents whose language is told with a cosine of ``least`` or more, columns as they are.
 
-    The cosine of unrelated vectors is about 1 / sqrt(dims), which the default is near:
+    The cosine of unrelated vectors is about 1 / sqrt(dims); the default is half of that:
     only texts without letters, or with no likeness to any language learned, are rejected.
     """
     predict = learned(documents, doc_id, text, lang, params)

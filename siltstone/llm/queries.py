@@ -63,7 +63,7 @@ WITH base AS (
         array_to_string(list_concat(
             ['http-header: HTTP/1.1 200 OK', 'http-header: Content-Type: text/html; charset=utf-8',
              'http-header: Content-Length: ' || octet_length(encode(payload))],
-            list_transform(regexp_extract_all(payload, {_sql_string(warc.LINK)}, 1), u -> 'outlink: ' || u)),
+            list_transform(regexp_extract_all(payload, {_sql_string(warc.LINK)}, 1), lambda u: 'outlink: ' || u)),
         chr(13) || chr(10)) AS block
     FROM response
     UNION ALL
@@ -95,12 +95,12 @@ WITH sized AS (
     FROM sized GROUP BY source
 ), prefixes AS (
     SELECT *, sum(source_size) OVER () AS total,
-        coalesce(sum(3 * source_size) OVER w, 0) AS full, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS rest
+        coalesce(sum(3 * source_size) OVER w, 0) AS filled, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS rest
     FROM sources
     WINDOW w AS (ORDER BY 3 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), level AS (
-    SELECT arg_min((total - full)::BIGINT, 3 * source_size / weight) AS num, arg_min(rest::BIGINT, 3 * source_size / weight) AS den
-    FROM prefixes WHERE 3 * source_size >= weight * (total - full)::DOUBLE / rest::DOUBLE
+    SELECT arg_min((total - filled)::BIGINT, 3 * source_size / weight) AS num, arg_min(rest::BIGINT, 3 * source_size / weight) AS den
+    FROM prefixes WHERE 3 * source_size >= weight * (total - filled)::DOUBLE / rest::DOUBLE
 ), targets AS (
     SELECT source, source_size, least((3 * source_size)::DOUBLE, (weight * num)::DOUBLE / den::DOUBLE) AS target FROM sources, level
 ), laid AS (
@@ -142,7 +142,7 @@ def op7(documents: DataFrame) -> DataFrame:
 EMBEDDING_SQL = """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-    WHERE len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
     WHERE list_cosine_similarity(a.v, b.v) >= 0.9
@@ -174,7 +174,7 @@ WITH RECURSIVE parted AS (
     FROM documents
 ), grams AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS g
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS g
     FROM parted
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
