@@ -171,7 +171,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``component`` is the smallest node reachable.  Rounds of large-star and small-star
     (Kiveris et al., "Connected Components in MapReduce and Beyond"); each round is two
-    grouped minima, joined back on the node, so that no task needs all links of a hub.
+    grouped minima, joined back on the node; these are written first, so that the join's
+    sides are plain scans and AQE splits the tasks of a hub.
     A pair of numbers per round reaches the driver.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -185,9 +186,10 @@ def components(edges: DataFrame) -> DataFrame:
         if not mark[0]:
             break
         both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stage(large, "links")
+        low = stage(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stage(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -213,7 +213,8 @@ def join(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", param
     an empty table gives no rows; other columns are not looked at.
     """
     rows, _, per_class = grouped(documents, doc_id, text, params)
-    return rows.join(per_class, "key", "left").select(
+    # Written first, the classes are a plain scan, and AQE can split the tasks of a hot class.
+    return rows.join(stage(per_class, "classes-named"), "key", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).cast("long").alias("n_links"),

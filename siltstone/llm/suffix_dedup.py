@@ -12,7 +12,8 @@ anchor form a run, its context.  Only anchors that occur twice go on:
    of ``length`` bytes are repeats;
 3. an anchor with more than ``group_contexts`` distinct contexts (a passage in very many
    documents, where it meets different surroundings) is not sorted in one task: its
-   windows are compared by 128-bit digests, which a shuffle counts wherever they are.
+   windows are compared by 128-bit digests, first in parts of many windows and then, where
+   these differ, in smaller ones; a shuffle counts them wherever they are.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ class Params:
     gram: int = 64
     group_contexts: int = 256
     block_bytes: int = 1 << 18
+    widths: tuple[int, ...] = (64, 8, 1)
 
 
 # ---------------------------------------------------------------- two-stage suffix sorting
@@ -197,12 +199,12 @@ class Anchors:
 
 
 def _occurrences(params: Params):
-    """Arrow batches of contexts: anchor and context digests, the row's key and the window range."""
+    """Arrow batches of contexts: anchor and context digests, the row's key, the window range and the anchor's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(params)
         digest = xxhash.xxh3_64_intdigest
-        names = ["h", "context", "x", "y", "begin", "end"]
+        names = ["h", "context", "x", "y", "begin", "end", "at"]
 
         def batch(parts: list[tuple]) -> pa.RecordBatch:
             cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
@@ -220,7 +222,7 @@ def _occurrences(params: Params):
                 ends = (last + params.length).tolist()
                 c = np.fromiter((digest(text[i:j]) for i, j in zip(first.tolist(), ends, strict=True)), np.uint64, n)
                 # Where in the context the anchor lies is part of what two contexts must share.
-                parts.append((h.view(np.int64), (c ^ (at - first).astype(np.uint64)).view(np.int64), np.full(n, x), np.full(n, y), first, last))
+                parts.append((h.view(np.int64), (c ^ (at - first).astype(np.uint64)).view(np.int64), np.full(n, x), np.full(n, y), first, last, at - first))
                 rows += n
                 if rows > 20_000:
                     yield batch(parts)
@@ -231,7 +233,11 @@ def _occurrences(params: Params):
     return run
 
 
-OCCURRENCE = "h long, context long, x long, y long, begin long, end long"
+OCCURRENCE = "h long, context long, x long, y long, begin long, end long, at long"
+
+
+PIECE = "h long, x long, y long, begin long, at long, copies long, contexts long, piece binary"
+PIECE_COLUMNS = [c.split()[0] for c in PIECE.split(", ")]
 
 
 def _contexts(length: int):
@@ -242,12 +248,13 @@ def _contexts(length: int):
             out: list[tuple] = []
             for x, y, text, wanted in zip(frame["x"], frame["y"], frame["text"], frame["wanted"], strict=True):
                 for w in wanted:
-                    out.append((w["h"], x, y, w["begin"], w["copies"], w["contexts"], bytes(text[w["begin"] : w["end"] + length])))
+                    piece = bytes(text[w["begin"] : w["end"] + length])
+                    out.append((w["h"], x, y, w["begin"], w["at"], w["copies"], w["contexts"], piece))
                     if len(out) >= 5000:
-                        yield pd.DataFrame(out, columns=["h", "x", "y", "begin", "copies", "contexts", "piece"])
+                        yield pd.DataFrame(out, columns=PIECE_COLUMNS)
                         out = []
             if out:
-                yield pd.DataFrame(out, columns=["h", "x", "y", "begin", "copies", "contexts", "piece"])
+                yield pd.DataFrame(out, columns=PIECE_COLUMNS)
 
     return run
 
@@ -286,21 +293,70 @@ def _repeats(groups: list[Columns], length: int) -> Columns:
     return {"x": np.array(x, np.int64), "y": np.array(y, np.int64), "begin": np.array(begin, np.int64), "end": np.array(end, np.int64)}
 
 
-def _window_digests(length: int):
+def _parts(length: int, width: int):
+    """Windows of a piece in parts of ``width`` starts, counted from the anchor.
+
+    All windows of a part share a core of bytes; parts of two pieces hold equal windows
+    only if the anchor, the part's number and the core are equal (digest ``c1, c2``).
+    ``whole`` is a digest of all that the part's windows cover.
+    """
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for h, x, y, begin, copies, piece in zip(frame["h"], frame["x"], frame["y"], frame["begin"], frame["copies"], frame["piece"], strict=True):
-                piece = bytes(piece)
-                count = len(piece) - length + 1
-                raw = b"".join(xxhash.xxh3_128_digest(piece[i : i + length]) for i in range(count))
-                d = np.frombuffer(raw, ">i8").reshape(-1, 2).astype(np.int64)
-                yield pd.DataFrame(
-                    {"h": h, "d1": d[:, 0], "d2": d[:, 1], "x": x, "y": y, "begin": begin + np.arange(count), "copies": copies}
-                )
+            out: list[tuple] = []
+            names = ("number", "h", "at", "low", "high", "piece")
+            for number, h, at, low, high, piece in zip(*(frame[n] for n in names), strict=True):
+                piece, h = bytes(piece), int(h).to_bytes(8, "big", signed=True)
+                # Window starts in the piece from ``low`` up to ``high`` lie at or before the anchor.
+                for k in range((at - high + 1) // width, (at - low) // width + 1):
+                    first, last = at - (k + 1) * width + 1, at - k * width
+                    a, b = max(first, low), min(last, high - 1)
+                    core = piece[last : max(first + length, last)]
+                    c1, c2 = (int.from_bytes(x, "big", signed=True) for x in _halves(h + k.to_bytes(4, "big") + core))
+                    w1, w2 = (int.from_bytes(x, "big", signed=True) for x in _halves((a - at).to_bytes(4, "big", signed=True) + piece[a : b + length]))
+                    out.append((number, a, b + 1, c1, c2, w1, w2))
+                if len(out) >= 20_000:
+                    yield pd.DataFrame(out, columns=["number", "low", "high", "c1", "c2", "w1", "w2"])
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=["number", "low", "high", "c1", "c2", "w1", "w2"])
 
     return run
 
 
+def _halves(data: bytes) -> tuple[bytes, bytes]:
+    d = xxhash.xxh3_128_digest(data)
+    return d[:8], d[8:]
+
+
+def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFrame:
+    """Spans ``x, y, begin, end`` of the repeated windows of contexts that occur once, by digests.
+
+    Windows are compared in ever smaller parts: a part whose core occurs once repeats
+    nowhere; if all parts of a core are equal, their windows repeat; the others are
+    parted again, down to single windows.  Rows meet in sums only, wherever they are.
+    """
+    pieces = stage(pieces.withColumn("number", F.monotonically_increasing_id()), "hot-pieces")
+    open_ = pieces.withColumn("low", F.lit(0).cast("long")).withColumn("high", (F.octet_length("piece") - length + 1).cast("long"))
+    spans = None
+    for width in widths:
+        parts = open_.repartition("number", "low").mapInPandas(
+            _parts(length, width), "number long, low long, high long, c1 long, c2 long, w1 long, w2 long"
+        )
+        parts = stage(parts, "parts")
+        whole = F.struct("w1", "w2")
+        cores = parts.groupBy("c1", "c2").agg(F.count("*").alias("n"), (F.min(whole) == F.max(whole)).alias("same"))
+        cores = stage(cores.where("n > 1").select("c1", "c2", "same"), "cores")
+        met = parts.join(cores, ["c1", "c2"]).select("number", "low", "high", "same")
+        met = stage(met, "met-parts")
+        found = met.where("same").join(pieces.where("copies = 1").select("number", "x", "y", "begin"), "number").select(
+            "x", "y", (F.col("begin") + F.col("low")).alias("begin"), (F.col("begin") + F.col("high") - 1 + length).alias("end")
+        )
+        spans = found if spans is None else spans.unionByName(found)
+        open_ = met.where("NOT same").drop("same").join(pieces, "number")
+    return spans
+
+
 def repeated_spans(texts: DataFrame, params: Params) -> DataFrame:
     """Spans ``x, y, begin, end`` of all bytes in windows that occur again; spans overlap.
 
@@ -312,36 +368,28 @@ def repeated_spans(texts: DataFrame, params: Params) -> DataFrame:
         F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
     again = anchors.where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"))
-    met = stage(occurrences.join(again, "h"), "repeated-anchors")
+    # Written first, the small side is a plain scan, and AQE can split the tasks of a hot anchor.
+    met = stage(occurrences.join(stage(again, "anchors-again"), "h"), "repeated-anchors")
     span = ["x", "y", "begin", (F.col("end") + params.length).alias("end")]
     spans = met.where("NOT mixed").select(*span)
 
     mixed = met.where("mixed")
-    distinct = mixed.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("x", "y", "begin", "end")).alias("one"))
+    distinct = mixed.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("x", "y", "begin", "end", "at")).alias("one"))
     distinct = stage(distinct, "contexts")
     full = distinct.where("copies > 1").select("h", "context")
     spans = spans.unionByName(mixed.join(full, ["h", "context"]).select(*span))
 
-    counts = distinct.groupBy("h").agg(F.count("*").alias("contexts"))
-    wanted = distinct.join(counts, "h").select("one.x", "one.y", F.struct("h", "one.begin", "one.end", "copies", "contexts").alias("w"))
+    counts = stage(distinct.groupBy("h").agg(F.count("*").alias("contexts")), "context-counts")
+    told = F.struct("h", "one.begin", "one.end", "one.at", "copies", "contexts").alias("w")
+    wanted = distinct.join(counts, "h").select("one.x", "one.y", told)
     wanted = wanted.groupBy("x", "y").agg(F.collect_list("w").alias("wanted"))  # at most some per 100 bytes of one text
     fetched = long_enough.join(wanted, ["x", "y"]).dropDuplicates(["x", "y"]).select("x", "y", "text", "wanted")
-    pieces = fetched.mapInPandas(
-        _contexts(params.length), "h long, x long, y long, begin long, copies long, contexts long, piece binary"
-    )
-    pieces = stage(pieces, "pieces")
+    pieces = stage(fetched.mapInPandas(_contexts(params.length), PIECE), "pieces")
     small = pieces.where(F.col("contexts") <= params.group_contexts).drop("contexts")
     spans = spans.unionByName(map_groups(small, ["h"], _sort_groups(params), "x long, y long, begin long, end long"))
 
-    large = pieces.where(F.col("contexts") > params.group_contexts).select("h", "x", "y", "begin", "copies", "piece")
-    digests = large.repartition("h", "x", "begin").mapInPandas(
-        _window_digests(params.length), "h long, d1 long, d2 long, x long, y long, begin long, copies long"
-    )
-    digests = stage(digests, "windows")
-    twice = digests.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    single = digests.where("copies = 1").join(twice, ["d1", "d2"])
-    spans = spans.unionByName(single.select("x", "y", "begin", (F.col("begin") + params.length).alias("end")))
-    return spans
+    large = pieces.where(F.col("contexts") > params.group_contexts).drop("contexts")
+    return spans.unionByName(_narrowed(large, params.length, params.widths))
 
 
 # ---------------------------------------------------------------- cutting
