@@ -84,7 +84,8 @@ class Encoder:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for word in set().union(*(p for p in parted if p)) - known.keys():
+        new = [w for w in set().union(*(p for p in parted if p)) if w not in known]
+        for word in new:
             known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         return parted
 

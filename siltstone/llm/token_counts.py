@@ -114,7 +114,7 @@ class Counter:
             parted.append(words)
         if len(self.counts) > CACHE_WORDS:
             self.counts.clear()
-        new = list(set().union(*parted) - self.counts.keys())
+        new = [w for w in set().union(*parted) if w not in self.counts]
         raw = [w if isinstance(w, bytes) else w.encode() for w in new]
         # Long words take many rounds: they are merged among their like.
         order = sorted(range(len(new)), key=lambda k: len(raw[k]))

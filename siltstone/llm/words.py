@@ -28,8 +28,9 @@ class WordHashes:
         known = self._known
         if len(known) > CACHE_ENTRIES:
             known.clear()
-        for w in set(found) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(found):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
 
 
