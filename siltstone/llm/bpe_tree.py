@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -85,8 +86,9 @@ class Encoder:
         if len(known) > CACHE_WORDS:
             known.clear()
         new = [w for w in set().union(*(p for p in parted if p)) if w not in known]
+        encode = self.tokenizer.encode
         for word in new:
-            known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            known[word] = array("I", encode(word, add_special_tokens=False).ids).tobytes()
         return parted
 
     def leaves(self, texts: list[str]) -> list[np.ndarray]:
@@ -201,12 +203,7 @@ def _round_trip(path: str):
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path)
         for texts in parts:
-            rows = []
-            for start in range(0, len(texts), 256):
-                some = texts.iloc[start : start + 256]
-                encoder.learn([t for t in some if t and len(t) <= LEAF_CHARS])
-                rows += [_digests(encoder, encoder.encode(t)) for t in some]
-            yield pd.DataFrame(rows, columns=DIGESTS)
+            yield pd.DataFrame([_digests(encoder, encoder.encode(t)) for t in texts], columns=DIGESTS)
 
     return F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
