@@ -162,9 +162,12 @@ def is_private(address: Column) -> Column:
     )
 
 
-def direction_id(src: Column, dst: Column, declared: Column | None = None) -> Column:
-    """1 inbound, 2 outbound, 3 lateral, 0 unknown; a declared direction wins."""
-    here, there = is_private(src), is_private(dst)
+def direction_id(here: Column, there: Column, declared: Column | None = None) -> Column:
+    """1 inbound, 2 outbound, 3 lateral, 0 unknown; a declared direction wins.
+
+    ``here`` and ``there`` tell whether source and target are private; they are read
+    several times, so they should be columns that hold the outcome of ``is_private``.
+    """
     rules = [] if declared is None else [(declared == "ingress", 1), (declared == "egress", 2)]
     return first_match([*rules, (here & there, 3), (here & ~there, 2), (~here & there, 1)], 0)
 
@@ -334,8 +337,10 @@ def event_time(*seconds: Column) -> Column:
     return F.coalesce(*(epoch_time(s) for s in seconds), F.current_timestamp())
 
 
+# The form of an IOS syslog line, its parts, and its time.
 IOS_LINE = r"^(\d+):\s+(\w+\s+\d+\s+\d+\s+\d+:\d+:\d+):\s+%(\w+)-(\d+)-(\w+):\s(.+)$"
 IOS_PARTS = ("seq_no", "timestamp", "facility", "severity", "mnemonic", "description")
+IOS_TIME = r"(\w+\s+\d+\s+\d+\s+\d+:\d+:\d+)"
 _BREAK = "\u0001"
 
 
@@ -349,7 +354,12 @@ def ios_parts(line: Column) -> Column:
     return F.when(line.rlike(IOS_LINE), F.split(joined, _BREAK, 6))
 
 
+def ios_part(line: Column, name: str) -> Column:
+    """One part of an IOS syslog line alone; NULL when it is no such line."""
+    return F.get(F.regexp_extract_all(line, F.lit(IOS_LINE), F.lit(IOS_PARTS.index(name) + 1)), F.lit(0))
+
+
 def ios_time(line: Column) -> Column:
     """Time of an IOS line; a one-digit day is padded with a second blank."""
-    found = F.regexp_extract(line, r"(\w+\s+\d+\s+\d+\s+\d+:\d+:\d+)", 1)
+    found = F.regexp_extract(line, IOS_TIME, 1)
     return F.try_to_timestamp(F.regexp_replace(found, r"\s+", " "), F.lit("MMM d yyyy HH:mm:ss"))

@@ -16,7 +16,9 @@ FILE_METADATA = "_metadata"
 def lineage_id() -> Column:
     """Hex milliseconds plus 13 random hex digits, 24 characters in all.
 
-    Random: it is fixed only once the bronze table is written.
+    Random: it is fixed only once the bronze table is written.  The form is a fixed one;
+    12 of its digits are random (the 13th marks the kind of UUID), and all rows of a batch
+    have the same milliseconds, so of 10^9 rows in a batch over a thousand share an id.
     """
     millis = F.hex(F.unix_millis(F.current_timestamp()))
     random_part = F.substring(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")), 1, 13)

@@ -15,11 +15,16 @@ from siltstone.sources.files import read_lookup
 
 log = logging.getLogger(__name__)
 
-# A broadcast side is held by the driver and by every executor.  The size looked at
-# is the optimizer's, which for files is the compressed size on disk, so the bound
-# stays far below the memory of one executor.
+# A broadcast side is held by the driver and by every executor, decoded.  The optimizer's
+# size of a file is the compressed one on disk, shared out over the columns that are
+# read; decoded rows are taken to be so many times as large.
 BROADCAST_LIMIT_CONF = "siltstone.lookup.broadcastLimitBytes"
 BROADCAST_LIMIT = 256 * 1024 * 1024
+EXPANSION_CONF = "siltstone.lookup.decodedTimes"
+EXPANSION = 5
+# A salted lookup is copied once per salt; one that Spark broadcasts anyway needs none.
+SALT_ABOVE_CONF = "siltstone.lookup.saltAboveBytes"
+SALT_ABOVE = 10 * 1024 * 1024
 
 _SALT = "__salt"
 
@@ -29,9 +34,14 @@ def planned_size(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
+
+
 def may_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(BROADCAST_LIMIT_CONF, str(BROADCAST_LIMIT)))
-    return planned_size(df) <= limit
+    """Whether the columns of ``df``, decoded, are within the broadcast limit."""
+    limit = _setting(df, BROADCAST_LIMIT_CONF, BROADCAST_LIMIT)
+    return planned_size(df) * _setting(df, EXPANSION_CONF, EXPANSION) <= limit
 
 
 def repeated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -60,25 +70,29 @@ def apply_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
         *(quoted(right).alias(key) for key, (_, right) in zip(keys, lookup.on)),
         *(quoted(name).alias(out) for name, out in renamed.items()),
     )
-    small = lookup.broadcast and may_broadcast(frame)
+    small = lookup.broadcast and may_broadcast(side)
     if lookup.broadcast and not small:
         log.warning("lookup %r is too large to broadcast; it is joined by shuffle", lookup.name)
     outputs = [*df.columns, *renamed.values()]
     left_keys = [left for left, _ in lookup.on]
 
-    kept = "left" if lookup.how in ("left", "full") else "inner"
-    joined = _equi_join(df, side, left_keys, keys, kept, small, lookup.salt)
-    joined = joined.select(*(quoted(name) for name in outputs))
+    salt = lookup.salt if not small and planned_size(side) > _setting(df, SALT_ABOVE_CONF, SALT_ABOVE) else 0
     if lookup.how in ("left", "inner"):
-        return joined
+        joined = _equi_join(df, side, left_keys, keys, lookup.how, small, salt)
+        return joined.select(*(quoted(name) for name in outputs))
     if df.isStreaming:
         raise SpecError(
             f"lookup {lookup.name!r}: a {lookup.how} join keeps unmatched lookup rows, "
             "which is only known once the stream has ended; run it as a batch"
         )
-    # Unmatched lookup rows are added separately.  The main side is read again for its
-    # key columns only, reduced to the distinct keys the lookup knows, and never
-    # shuffled whole; the plain outer join would neither broadcast nor split a hot key.
+    if not small and salt < 2:
+        joined = df.join(side, _equal(df, left_keys, side, keys), lookup.how)
+        return joined.select(*(quoted(name) for name in outputs))
+    # An outer join of that side can neither broadcast the lookup nor split a hot key of
+    # the main side.  So unmatched lookup rows are added separately; the main side is read
+    # again for that, its key columns only, reduced to the distinct keys.
+    kept = "left" if lookup.how == "full" else "inner"
+    joined = _equi_join(df, side, left_keys, keys, kept, small, salt).select(*(quoted(name) for name in outputs))
     return joined.unionByName(_unmatched(df, side, left_keys, keys, small).select(
         *(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields),
         *(quoted(name) for name in renamed.values()),
@@ -101,16 +115,21 @@ def _equi_join(
         # Every lookup row is repeated once per salt, so rows of one hot main key
         # spread over `salt` tasks.  The salt does not change the result.
         salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-        side = side.withColumn(_SALT, salts)
-        df = df.withColumn(_SALT, _row_salt(df, salt))
+        side = side.withColumn(_SALT, salts).hint("merge")
+        df = df.withColumn(_SALT, _row_salt(df, left_keys, salt))
         left_keys, keys = [*left_keys, _SALT], [*keys, _SALT]
     return df.join(side, _equal(df, left_keys, side, keys), how)
 
 
-def _row_salt(df: DataFrame, salt: int) -> Column:
-    """Stable under retry: from the stored lineage id, else from the row position."""
-    origin = F.col("dsl_id") if "dsl_id" in df.columns else F.monotonically_increasing_id()
-    return F.pmod(F.xxhash64(origin), F.lit(salt)).cast("int")
+def _row_salt(df: DataFrame, keys: list[str], salt: int) -> Column:
+    """From the values of a row that are not keys, so a repeated task deals it alike."""
+    unhashed = ("map", "variant")
+    rest = [
+        quoted(f.name)
+        for f in df.schema.fields
+        if f.name not in keys and not any(kind in f.dataType.simpleString() for kind in unhashed)
+    ]
+    return F.pmod(F.xxhash64(*(rest or map(quoted, keys))), F.lit(salt)).cast("int")
 
 
 def _unmatched(df: DataFrame, side: DataFrame, left_keys: list[str], keys: list[str], small: bool) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
@@ -38,6 +42,32 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.gettempdir() + "/siltstone"
 
 
+_ENDINGS: list[Callable[[], None]] = []
+
+
+def at_end(action: Callable[[], None]) -> None:
+    """Run ``action`` when the driver process ends, the latest first; frames may read until then."""
+    if not _ENDINGS:
+        atexit.register(_end)
+    _ENDINGS.append(action)
+
+
+def _end() -> None:
+    while _ENDINGS:
+        # The session, or Java itself, may be gone by now; the other endings still count.
+        with contextlib.suppress(Exception):
+            _ENDINGS.pop()()
+
+
+def delete(path: str) -> None:
+    """Remove a file or folder of any file system Spark reaches."""
+    jvm = SparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(hadoop_path, True)
+
+
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
-    """A folder name in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A folder name in the shared folder that no other run uses; it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    at_end(lambda: delete(path))
+    return path

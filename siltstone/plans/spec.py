@@ -81,6 +81,13 @@ class LookupSource:
 
 @dataclass(frozen=True, eq=False)
 class Lookup:
+    """A join with a static side.
+
+    ``unique`` checks that its keys do not repeat, with a Spark job over the side while
+    the plan is built.  ``salt`` deals the rows of a hot main key over so many tasks, if
+    the side is too large to be broadcast.
+    """
+
     source: LookupSource
     on: tuple[tuple[str, str], ...]
     name: str = "unnamed"

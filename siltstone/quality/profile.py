@@ -152,6 +152,24 @@ def mapping_coverage(mapped: DataFrame, event_class: str) -> DataFrame:
     )
 
 
+def problem_rows(mapped: DataFrame, problems: Mapping[str, list[str]]) -> DataFrame:
+    """Per problem of a mapping (``mapping_problems``), all rows and those in which the column has a value."""
+    found = [(problem, column) for problem, columns in problems.items() for column in columns]
+    counts = mapped.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *(
+            (F.count(quoted(column)) if column in mapped.columns else F.lit(0).cast("bigint")).alias(f"c{i}")
+            for i, (_, column) in enumerate(found)
+        ),
+    )
+    entries = [
+        F.struct(F.lit(problem).alias("problem"), F.lit(column).alias("column"), F.col("rows"), F.col(f"c{i}").alias("filled"))
+        for i, (problem, column) in enumerate(found)
+    ]
+    kind = "array<struct<problem:string,column:string,rows:bigint,filled:bigint>>"
+    return counts.select(F.inline(F.array(*entries).cast(kind)))
+
+
 def issue_counts(checks: Mapping[str, DataFrame]) -> DataFrame:
     """Per check, the number of rows whose status is not ok."""
     counts = [
@@ -162,5 +180,5 @@ def issue_counts(checks: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def by_status(result: DataFrame) -> DataFrame:
-    """A check's result in reading order: worst status first, then by column."""
+    """A check's result in reading order: by status, descending, then by column."""
     return result.orderBy(F.col("status").desc(), "column")

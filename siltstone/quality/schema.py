@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.quality.profile import MISSING, NEW, leaf_paths
+from siltstone.quality.profile import MISSING, NEW, leaf_paths, null_profile
 
 MATCH = "match"
 MISMATCH = "type mismatch"
@@ -18,6 +18,25 @@ def _frame(spark: SparkSession, schema: T.StructType, out: str, flatten: bool, i
     return spark.createDataFrame(list(rows.items()), f"column string, {out} string")
 
 
+def filled_diff(
+    source: DataFrame, target: DataFrame, flatten: bool = False, ignore_case: bool = False
+) -> DataFrame:
+    """The schema comparison with the number of filled rows of every column on either side.
+
+    Each table is read once, in a partially aggregated count of all its columns.
+    """
+
+    def filled(df: DataFrame, out: str) -> DataFrame:
+        name = F.lower("column") if ignore_case else F.col("column")
+        return null_profile(df, flatten).select(name.alias("column"), (F.col("rows") - F.col("null_count")).alias(out))
+
+    return (
+        schema_diff(source, target, flatten, ignore_case)
+        .join(filled(source, "filled_source"), "column", "left")
+        .join(filled(target, "filled_target"), "column", "left")
+    )
+
+
 def schema_diff(
     source: DataFrame, target: DataFrame, flatten: bool = False, ignore_case: bool = False
 ) -> DataFrame:

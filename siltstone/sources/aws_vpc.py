@@ -23,26 +23,31 @@ RENAMED = {
 }
 # Record keys by type; `-` marks a missing text.
 TEXTS = (
-    "account-id interface-id srcaddr dstaddr action log-status vpc-id subnet-id instance-id type pkt-srcaddr "
-    "pkt-dstaddr region az-id sublocation-type sublocation-id pkt-src-aws-service pkt-dst-aws-service "
-    "flow-direction ecs-cluster-arn ecs-cluster-name ecs-container-instance-arn ecs-container-instance-id "
-    "ecs-container-id ecs-second-container-id ecs-service-name ecs-task-definition-arn ecs-task-arn ecs-task-id "
-    "reject-reason resource-id tgw-id tgw-attachment-id tgw-src-vpc-account-id tgw-dst-vpc-account-id "
-    "tgw-src-vpc-id tgw-dst-vpc-id tgw-src-subnet-id tgw-dst-subnet-id tgw-pair-attachment-id resource-type"
-).split()
-INTS = "version srcport dstport protocol tcp-flags traffic-path encryption-status".split()
+    "account-id", "interface-id", "srcaddr", "dstaddr", "action", "log-status", "vpc-id", "subnet-id",
+    "instance-id", "type", "pkt-srcaddr", "pkt-dstaddr", "region", "az-id", "sublocation-type",
+    "sublocation-id", "pkt-src-aws-service", "pkt-dst-aws-service", "flow-direction", "ecs-cluster-arn",
+    "ecs-cluster-name", "ecs-container-instance-arn", "ecs-container-instance-id", "ecs-container-id",
+    "ecs-second-container-id", "ecs-service-name", "ecs-task-definition-arn", "ecs-task-arn", "ecs-task-id",
+    "reject-reason", "resource-id", "tgw-id", "tgw-attachment-id", "tgw-src-vpc-account-id",
+    "tgw-dst-vpc-account-id", "tgw-src-vpc-id", "tgw-dst-vpc-id", "tgw-src-subnet-id", "tgw-dst-subnet-id",
+    "tgw-pair-attachment-id", "resource-type",
+)
+INTS = (
+    "version", "srcport", "dstport", "protocol", "tcp-flags", "traffic-path", "encryption-status",
+)
 LONGS = (
-    "packets bytes start end packets-lost-no-route packets-lost-blackhole packets-lost-mtu-exceeded "
-    "packets-lost-ttl-expired"
-).split()
+    "packets", "bytes", "start", "end", "packets-lost-no-route", "packets-lost-blackhole",
+    "packets-lost-mtu-exceeded", "packets-lost-ttl-expired",
+)
 # Parsed columns kept as leftovers of the mapped row.
 LEFTOVERS = (
-    "interface_id subnet_id tcp_flags traffic_path flow_type sublocation_type sublocation_id log_status "
-    "reject_reason resource_id encryption_status tgw_id tgw_attachment_id tgw_pair_attachment_id resource_type "
-    "packets_lost_no_route packets_lost_blackhole packets_lost_mtu_exceeded packets_lost_ttl_expired "
-    "ecs_cluster_arn ecs_cluster_name ecs_container_instance_id ecs_container_id ecs_service_name ecs_task_id "
-    "ecs_task_arn"
-).split()
+    "interface_id", "subnet_id", "tcp_flags", "traffic_path", "flow_type", "sublocation_type",
+    "sublocation_id", "log_status", "reject_reason", "resource_id", "encryption_status", "tgw_id",
+    "tgw_attachment_id", "tgw_pair_attachment_id", "resource_type", "packets_lost_no_route",
+    "packets_lost_blackhole", "packets_lost_mtu_exceeded", "packets_lost_ttl_expired", "ecs_cluster_arn",
+    "ecs_cluster_name", "ecs_container_instance_id", "ecs_container_id", "ecs_service_name", "ecs_task_id",
+    "ecs_task_arn",
+)
 
 
 def flow(*inputs: str) -> Flow:
@@ -96,7 +101,9 @@ def network_activity() -> GoldSpec:
         name="network_activity",
         input=PARSED,
         temporary=(
-            Field("direction_code", n.direction_id(col("src_addr"), col("dst_addr"), col("flow_direction"))),
+            Field("src_private", n.is_private(col("src_addr"))),
+            Field("dst_private", n.is_private(col("dst_addr"))),
+            Field("direction_code", n.direction_id(col("src_private"), col("dst_private"), col("flow_direction"))),
             Field(
                 "flow_id",
                 n.flow_uid(

@@ -48,7 +48,11 @@ def parsed() -> SilverSpec:
         preserve=True,
         temporary=(Field("ios_parts", n.ios_parts(F.col("value"))),),
         fields=fields(
-            {name: F.get("ios_parts", F.lit(position)) for position, name in enumerate(n.IOS_PARTS)}
+            {
+                **{name: F.get("ios_parts", F.lit(position)) for position, name in enumerate(n.IOS_PARTS)},
+                # Mappings choose rows by these, so each is read alone: a filter needs no more.
+                **{name: n.ios_part(F.col("value"), name) for name in ("facility", "mnemonic")},
+            }
         ),
     )
 
@@ -92,8 +96,7 @@ def authentication() -> GoldSpec:
     return GoldSpec(
         name="authentication",
         input=PARSED,
-        filter=(F.col("facility").isin(*LOGIN_FACILITIES) & mnemonic.startswith("LOGIN"))
-        | ((F.col("facility") == "SYS") & logout),
+        filter=F.concat_ws("-", "facility", "mnemonic").rlike(f"^({'|'.join(LOGIN_FACILITIES)})-LOGIN|^SYS-LOGOUT$"),
         temporary=(
             Field("found_address", F.when(logout, _found(rf"\({ADDRESS}\)")).otherwise(_found(rf"Source:\s*{ADDRESS}"))),
             Field("found_user", F.when(logout, _found(r"User\s+(\w+)")).otherwise(_found(r"user:\s*(\w+)"))),

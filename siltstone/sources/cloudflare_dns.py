@@ -12,37 +12,41 @@ PARSED = "cloudflare_gateway_dns_silver"
 
 # Record keys by type; a column keeps the name of its key.
 TEXTS = (
-    "AccountID ApplicationID ApplicationName ColoCode CustomResolverAddress CustomResolverPolicyID "
-    "CustomResolverPolicyName CustomResolverResponse DeviceID DeviceName DoHSubdomain DoTSubdomain DstIP Email "
-    "InternalDNSFallbackStrategy InternalDNSViewID InternalDNSZoneID Location LocationID Policy PolicyID PolicyName "
-    "Protocol QueryID QueryName QueryNameReversed QueryTypeName RedirectTargetURI RegistrationID ResolverDecision "
-    "ResolverPolicyID ResolverPolicyName SrcIP SrcIPContinentCode SrcIPCountryCode TimeZone TimeZoneInferredMethod "
-    "UserID"
-).split()
+    "AccountID", "ApplicationID", "ApplicationName", "ColoCode", "CustomResolverAddress",
+    "CustomResolverPolicyID", "CustomResolverPolicyName", "CustomResolverResponse", "DeviceID", "DeviceName",
+    "DoHSubdomain", "DoTSubdomain", "DstIP", "Email", "InternalDNSFallbackStrategy", "InternalDNSViewID",
+    "InternalDNSZoneID", "Location", "LocationID", "Policy", "PolicyID", "PolicyName", "Protocol", "QueryID",
+    "QueryName", "QueryNameReversed", "QueryTypeName", "RedirectTargetURI", "RegistrationID",
+    "ResolverDecision", "ResolverPolicyID", "ResolverPolicyName", "SrcIP", "SrcIPContinentCode",
+    "SrcIPCountryCode", "TimeZone", "TimeZoneInferredMethod", "UserID",
+)
 # Numbers may be delivered as text, so both are read through text.
 INTS = (
-    "ColoID CustomResolveDurationMs DstPort InternalDNSRCode QuerySize QueryType RCode SrcPort"
-).split()
+    "ColoID", "CustomResolveDurationMs", "DstPort", "InternalDNSRCode", "QuerySize", "QueryType", "RCode",
+    "SrcPort",
+)
 BOOLEANS = ["IsResponseCached"]
 TEXT_LISTS = (
-    "AuthoritativeNameServerIPs CNAMECategoryNames CNAMEs CNAMEsReversed InitialCategoryNames InitialResolvedIPs "
-    "MatchedCategoryNames MatchedIndicatorFeedNames QueryApplicationNames QueryCategoryNames "
-    "QueryIndicatorFeedNames RequestContextCategoryNames ResolvedIPCategoryNames ResolvedIPContinentCodes "
-    "ResolvedIPCountryCodes ResolvedIPs"
-).split()
+    "AuthoritativeNameServerIPs", "CNAMECategoryNames", "CNAMEs", "CNAMEsReversed", "InitialCategoryNames",
+    "InitialResolvedIPs", "MatchedCategoryNames", "MatchedIndicatorFeedNames", "QueryApplicationNames",
+    "QueryCategoryNames", "QueryIndicatorFeedNames", "RequestContextCategoryNames", "ResolvedIPCategoryNames",
+    "ResolvedIPContinentCodes", "ResolvedIPCountryCodes", "ResolvedIPs",
+)
 INT_LISTS = (
-    "CNAMECategoryIDs EDEErrors InitialCategoryIDs MatchedCategoryIDs MatchedIndicatorFeedIDs QueryApplicationIDs "
-    "QueryCategoryIDs QueryIndicatorFeedIDs RequestContextCategoryIDs ResolvedIPCategoryIDs"
-).split()
+    "CNAMECategoryIDs", "EDEErrors", "InitialCategoryIDs", "MatchedCategoryIDs", "MatchedIndicatorFeedIDs",
+    "QueryApplicationIDs", "QueryCategoryIDs", "QueryIndicatorFeedIDs", "RequestContextCategoryIDs",
+    "ResolvedIPCategoryIDs",
+)
 RECORD_LISTS = ["RData", "ResourceRecords", "ResourceRecordsJSON"]
 
 # Parsed columns that have a place in the class, so are no leftovers.
 MAPPED = (
-    "ApplicationName DeviceID DeviceName DstIP DstPort Location LocationID MatchedCategoryNames "
-    "MatchedIndicatorFeedNames Policy PolicyID PolicyName Protocol QueryName QuerySize QueryTypeName RCode "
-    "ResolvedIPContinentCodes ResolvedIPCountryCodes ResolvedIPs ResourceRecordsJSON SrcIP SrcIPContinentCode "
-    "SrcIPCountryCode SrcPort UserID"
-).split()
+    "ApplicationName", "DeviceID", "DeviceName", "DstIP", "DstPort", "Location", "LocationID",
+    "MatchedCategoryNames", "MatchedIndicatorFeedNames", "Policy", "PolicyID", "PolicyName", "Protocol",
+    "QueryName", "QuerySize", "QueryTypeName", "RCode", "ResolvedIPContinentCodes", "ResolvedIPCountryCodes",
+    "ResolvedIPs", "ResourceRecordsJSON", "SrcIP", "SrcIPContinentCode", "SrcIPCountryCode", "SrcPort",
+    "UserID",
+)
 
 
 def flow(*inputs: str) -> Flow:
@@ -69,21 +73,24 @@ def flow(*inputs: str) -> Flow:
     )
 
 
+RECORDS = "array<map<string,string>>"
 # The type each key is read as.
 KINDS = {
-    **dict.fromkeys((*TEXTS, *INTS, *BOOLEANS, *RECORD_LISTS), "string"),
+    **dict.fromkeys((*TEXTS, *INTS, *BOOLEANS), "string"),
     **dict.fromkeys(TEXT_LISTS, "array<string>"),
     **dict.fromkeys(INT_LISTS, "array<int>"),
+    **dict.fromkeys(RECORD_LISTS, RECORDS),
 }
 
 
 def _parsed_columns() -> dict:
-    records = "array<map<string,string>>"
+    # A list may also be delivered as a text of JSON; only then is it parsed.
+    records = lambda key: F.coalesce(n.member(key), F.from_json(n.text(f"$.{key}"), RECORDS))
     columns = {
         **{key: n.member(key) for key in (*TEXTS, *TEXT_LISTS, *INT_LISTS)},
         **{key: n.member(key).try_cast("int") for key in INTS},
         **{key: n.member(key).try_cast("boolean") for key in BOOLEANS},
-        **{key: F.from_json(n.member(key), records) for key in RECORD_LISTS},
+        **{key: records(key) for key in RECORD_LISTS},
     }
     return dict(sorted(columns.items(), key=lambda item: item[0].lower()))
 

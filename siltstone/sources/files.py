@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.plans.spec import Ingest, LookupSource, SpecError
@@ -20,7 +20,7 @@ FORMATS = {
     "parquet": "parquet",
 }
 LOOKUP_FORMATS = ("csv", "parquet", "json", "jsonl")
-# Spark sources that can deliver a whole record as one variant.
+# Spark sources whose whole record becomes one variant.
 VARIANT_SOURCES = ("json", "csv")
 
 
@@ -32,7 +32,11 @@ def reader_options(ingest: Ingest, call_options: Mapping[str, str] | None = None
     if ingest.format == "json":
         options["multiLine"] = str(ingest.multiline).lower()
     if _whole_record(ingest):
-        options["singleVariantColumn"] = "data"
+        if _source(ingest) == "json":
+            options["singleVariantColumn"] = "data"
+        else:
+            # A file whose header differs from the first one's fails rather than shifts.
+            options["enforceSchema"] = "false"
     options.update({k: str(v) for k, v in ingest.options.items()})
     options.update({k: str(v) for k, v in (call_options or {}).items()})
     return options
@@ -49,10 +53,21 @@ def _whole_record(ingest: Ingest) -> bool:
     return ingest.single_variant and _source(ingest) in VARIANT_SOURCES
 
 
+def _text_record(ingest: Ingest) -> bool:
+    """CSV records are read as text: Spark's own variant of a line turns 007 into 7."""
+    return _whole_record(ingest) and _source(ingest) == "csv"
+
+
+def _as_record(df: DataFrame) -> DataFrame:
+    """All columns as one variant object in ``data``."""
+    members = F.struct(*(F.col(f"`{name}`") for name in df.columns))
+    return df.select(F.to_variant_object(members).alias("data"), "_metadata")
+
+
 def _declared_schema(ingest: Ingest) -> str | None:
     if ingest.schema:
         return ingest.schema
-    if _whole_record(ingest):
+    if _whole_record(ingest) and not _text_record(ingest):
         return "data variant"
     return "value string" if _source(ingest) == "text" else None
 
@@ -78,10 +93,12 @@ def read_batch(
     schema = _declared_schema(ingest) or _inferred(spark, ingest, paths, call_options)
     options = reader_options(ingest, call_options)
     df = spark.read.format(_source(ingest)).options(**options).schema(schema).load(paths)
-    if row_limit > 0:
+    if _text_record(ingest):
+        df = _as_record(df)
+    elif row_limit > 0:
         # The hidden file metadata is lost behind a limit, so it is pinned first.
-        df = df.select("*", "_metadata").limit(row_limit)
-    return df
+        df = df.select("*", "_metadata")
+    return df.limit(row_limit) if row_limit > 0 else df
 
 
 def read_stream(
@@ -90,41 +107,54 @@ def read_stream(
     inputs: tuple[str, ...] | None = None,
     call_options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """All inputs as one file stream, so one query and one checkpoint feed the table."""
+    """All inputs as one file stream, so one query and one checkpoint feed the table.
+
+    Declare a schema for a stream of typed CSV, JSON or Parquet: else it is taken from
+    the files already there, which a start reads for it.
+    """
     paths = list(inputs or ingest.inputs)
     schema = _declared_schema(ingest) or _inferred(spark, ingest, paths, call_options)
     options = reader_options(ingest, call_options)
-    return spark.readStream.format(_source(ingest)).options(**options).schema(schema).load(one_path(paths))
+    stream = spark.readStream.format(_source(ingest)).options(**options).schema(schema)
+    df = stream.load(one_path(spark, paths))
+    return _as_record(df) if _text_record(ingest) else df
 
 
-def one_path(paths: list[str]) -> str:
-    """One glob that covers several input paths of the same file system."""
+def one_path(spark: SparkSession, paths: list[str]) -> str:
+    """One glob that covers several input paths of the same file system.
+
+    A path without a scheme lies in the default file system, as Spark reads it.
+    """
     if not paths:
         raise SpecError("no input path")
     if len(paths) == 1:
         return paths[0]
-    schemes = {p.split("://", 1)[0] if "://" in p else "" for p in paths}
-    if len(schemes) > 1:
-        raise SpecError(f"inputs of one stream lie on different file systems: {sorted(schemes)}")
-    scheme = schemes.pop()
-    bare = [p.split("://", 1)[1] if scheme else os.path.abspath(p) for p in paths]
-    root, rest = "", [p.lstrip("/") for p in bare]
-    if scheme and not bare[0].startswith("/"):
-        hosts = {p.split("/", 1)[0] for p in bare}
-        if len(hosts) > 1:
-            raise SpecError(f"inputs of one stream lie in different stores: {sorted(hosts)}")
-        root, rest = hosts.pop(), [p.partition("/")[2] for p in bare]
-    return f"{scheme}://{root}/{{{','.join(rest)}}}" if scheme else f"/{{{','.join(rest)}}}"
+    stores, rest = set(), []
+    for path in paths:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not hadoop_path.toUri().getScheme():
+            hadoop_path = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path)
+        uri = hadoop_path.toUri()
+        stores.add((uri.getScheme(), uri.getAuthority() or ""))
+        rest.append(uri.getPath().lstrip("/"))
+    if len(stores) > 1:
+        raise SpecError(f"inputs of one stream lie in different stores, which needs a stream each: {sorted(stores)}")
+    scheme, authority = stores.pop()
+    return f"{scheme}://{authority}/{{{','.join(rest)}}}"
 
 
 def _inferred(
     spark: SparkSession, ingest: Ingest, paths: list[str], call_options: Mapping[str, str] | None
 ) -> T.StructType:
-    """Column types from the data; costs a pass, so large sources declare a schema."""
-    options = reader_options(ingest, call_options)
-    return with_hints(
-        spark.read.format(_source(ingest)).options(**options).load(paths).schema, ingest.schema_hints
-    )
+    """Column types from the data; costs a pass, so large sources declare a schema.
+
+    Of a CSV record only the names are taken, from one header line.
+    """
+    reader = spark.read.format(_source(ingest)).options(**reader_options(ingest, call_options))
+    if _text_record(ingest):
+        names = reader.option("inferSchema", "false").load(paths).columns
+        return T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return with_hints(reader.load(paths).schema, ingest.schema_hints)
 
 
 def read_lookup(spark: SparkSession, source: LookupSource) -> DataFrame:

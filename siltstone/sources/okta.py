@@ -14,7 +14,6 @@ PARSED = "okta_system_log_silver"
 # Column -> path of a text in the record.
 TEXT_PATHS = {
     "uuid": "uuid",
-    "event_type": "eventType",
     "display_message": "displayMessage",
     "severity": "severity",
     "legacy_event_type": "legacyEventType",
@@ -102,16 +101,16 @@ def flow(*inputs: str) -> Flow:
 
 
 def parsed() -> SilverSpec:
-    first = lambda kind, member: n.first_of_type(F.col("targets"), kind)[member]
+    first = lambda kind, member: n.first_of_type(n.member("target"), kind)[member]
+    kinds = {**dict.fromkeys(TEXT_PATHS.values(), "string"), PROXY: "string", "target": TARGETS}
     return SilverSpec(
         name=PARSED,
         preserve=True,
-        temporary=(
-            Field("record", n.record({**dict.fromkeys(TEXT_PATHS.values(), "string"), PROXY: "string"})),
-            Field("targets", F.from_json(F.to_json(F.try_variant_get("data", "$.target", "variant")), TARGETS)),
-        ),
+        temporary=(Field("record", n.record(kinds)),),
         fields=fields(
             {
+                # Mappings choose rows by it, so it is read alone: a filter on it needs no more.
+                "event_type": n.text("$.eventType"),
                 **{name: n.member(path) for name, path in TEXT_PATHS.items()},
                 "sec_is_proxy": n.member(PROXY).try_cast("boolean"),
                 "target_user_id": first("User", "id"),

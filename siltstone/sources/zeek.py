@@ -20,9 +20,9 @@ ENDS = {
 }
 # Record keys read while mapping, by type.
 DETAILS = {
-    **dict.fromkeys("uid proto history service orig_l2_addr resp_l2_addr tunnel_parents".split(), "string"),
+    **dict.fromkeys(("uid", "proto", "history", "service", "orig_l2_addr", "resp_l2_addr", "tunnel_parents"), "string"),
     **dict.fromkeys(
-        "orig_bytes resp_bytes orig_pkts resp_pkts missed_bytes orig_ip_bytes resp_ip_bytes".split(), "bigint"
+        ("orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts", "missed_bytes", "orig_ip_bytes", "resp_ip_bytes"), "bigint"
     ),
     **dict.fromkeys(("vlan", "inner_vlan"), "int"),
     **dict.fromkeys(("local_orig", "local_resp"), "boolean"),
@@ -74,7 +74,9 @@ def network_activity() -> GoldSpec:
         name="network_activity",
         input=PARSED,
         temporary=(
-            Field("direction_code", n.direction_id(src, dst)),
+            Field("src_private", n.is_private(src)),
+            Field("dst_private", n.is_private(dst)),
+            Field("direction_code", n.direction_id(F.col("src_private"), F.col("dst_private"))),
             Field("record", n.record(DETAILS)),
         ),
         fields=fields(

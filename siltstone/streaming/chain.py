@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from siltstone.operators.ingest import to_bronze
 from siltstone.operators.layers import to_gold, to_silver
@@ -25,13 +25,20 @@ class Placement:
     """Where a run keeps its checkpoints and tables, and how it is paced.
 
     ``batch_bytes`` bounds one micro-batch, so that draining a large backlog proceeds in
-    steps that fit the cluster; every row is still processed.
+    steps that fit the cluster; every row is still processed.  A batch that feeds several
+    classes is held on the executors' disks meanwhile, so the bound is also what they
+    need together.  Without ``drain`` the streams run on, one micro-batch every
+    ``interval`` (such as ``"1 minute"``) or as fast as they can.  Tables have a folder
+    per day; with ``grain`` ``"month"`` class tables have one per month, and the others
+    none, which suits few rows spread over many days.
     """
 
     checkpoints: str
     tables: str | None = None
     drain: bool = True
-    batch_bytes: int = 2**40
+    batch_bytes: int = 2**36
+    interval: str | None = None
+    grain: str = "day"
     call_options: Mapping[str, str] = field(default_factory=dict)
 
     def checkpoint(self, layer: str, name: str) -> str:
@@ -41,20 +48,29 @@ class Placement:
         return f"{self.tables}/{table.replace('`', '')}" if self.tables else None
 
 
+    def triggered(self, writer: DataStreamWriter) -> DataStreamWriter:
+        if self.drain:
+            return writer.trigger(availableNow=True)
+        return writer.trigger(processingTime=self.interval) if self.interval else writer
+
+
+def gold_checkpoint(flow: Flow, place: Placement, source: str) -> str:
+    """Checkpoint of the stream that maps one parsed table of a flow."""
+    lane = lane_of(flow)
+    return place.checkpoint("gold", f"{source}-{lane.name}-{lane.version}")
+
+
 def lane_of(flow: Flow) -> Lane:
     return Lane(flow.provider or flow.name, flow.log_name or flow.name, flow.version)
 
 
-def _start(
-    df: DataFrame, place: Placement, layer: str, name: str, table: str, cluster_by: Collection[str]
-) -> StreamingQuery:
+def _start(df: DataFrame, place: Placement, layer: str, name: str, table: str) -> StreamingQuery:
+    """One query appending to a layer's table, a folder per day where there is a ``date``."""
     writer = df.writeStream.queryName(query_name(layer, name))
     writer = writer.option("checkpointLocation", place.checkpoint(layer, name))
-    present = [column for column in cluster_by if column in df.columns]
-    if present:
-        writer = writer.clusterBy(*present)
-    if place.drain:
-        writer = writer.trigger(availableNow=True)
+    if "date" in df.columns and place.grain == "day":
+        writer = writer.partitionBy("date")
+    writer = place.triggered(writer)
     if place.path(table):
         writer = writer.option("path", place.path(table))
     return writer.toTable(table)
@@ -76,7 +92,7 @@ def start_bronze(
     options = {"maxBytesPerTrigger": str(place.batch_bytes), **place.call_options}
     df = to_bronze(read_stream(spark, flow.ingest, inputs, options), flow.ingest)
     table = layer_table(spark, "bronze", flow.ingest.name)
-    return _start(df, place, "bronze", flow.ingest.name, table, flow.ingest.cluster_by)
+    return _start(df, place, "bronze", flow.ingest.name, table)
 
 
 def start_silver(spark: SparkSession, flow: Flow, place: Placement, only: Collection[str] = ()) -> list[StreamingQuery]:
@@ -87,7 +103,7 @@ def start_silver(spark: SparkSession, flow: Flow, place: Placement, only: Collec
         source = spec.input if spec.input and "." in spec.input else flow.ingest.name
         df = to_silver(_table_stream(spark, layer_table(spark, "bronze", source), place), spec)
         table = layer_table(spark, "silver", spec.name)
-        queries.append(_start(df, place, "silver", spec.name, table, spec.cluster_by))
+        queries.append(_start(df, place, "silver", spec.name, table))
     return queries
 
 
@@ -103,15 +119,15 @@ def start_gold(spark: SparkSession, flow: Flow, place: Placement, only: Collecti
         targets = {}
         for mapping in mappings:
             table = gold_table(spark, mapping)
-            targets[mapping.name] = SharedTable(spark, table).create(class_schema(mapping.name), place.path(table))
+            targets[mapping.name] = SharedTable(spark, table).create(class_schema(mapping.name), place.path(table), place.grain)
         name = f"{source}-{lane.name}-{lane.version}"
         writer = (
             _table_stream(spark, layer_table(spark, "silver", source), place)
             .writeStream.queryName(query_name("gold", name))
-            .option("checkpointLocation", place.checkpoint("gold", name))
+            .option("checkpointLocation", gold_checkpoint(flow, place, source))
             .foreachBatch(_class_writer(mappings, targets, lane))
         )
-        queries.append((writer.trigger(availableNow=True) if place.drain else writer).start())
+        queries.append(place.triggered(writer).start())
     return queries
 
 
@@ -180,19 +196,37 @@ def replay_gold(
 ) -> list[StreamingQuery]:
     """Map the stored parsed rows again under ``flow.version``.
 
-    Rows of the version being written are dropped first, with its checkpoint, because a
-    new run may cut its batches differently; so are those of the version it replaces.
+    The new version is written beside the one that readers see, which is ``replaced``
+    from the start, shown when all its rows are there, and only then the old one is
+    dropped.  A run that fails leaves the old version as it was, and is begun anew by the
+    next call.  A running stream gives no such moment, so a replay drains.
     """
+    if not place.drain:
+        raise SpecError("a replay drains its input; run the stream afterwards")
     lane = lane_of(flow)
+    if replaced == lane.version:
+        raise SpecError(f"version {replaced!r} cannot replace itself; give the flow a new version")
     chosen = [m for m in flow.gold if not tables or m.name in tables]
-    for mapping in chosen:
-        table = gold_table(spark, mapping)
-        if spark.catalog.tableExists(table):
-            for version in {lane.version, replaced} - {None}:
-                SharedTable(spark, table).drop_version(Lane(lane.provider, lane.log_name, version))
-    for source in {m.input for m in chosen}:
-        _delete(spark, place.checkpoint("gold", f"{source}-{lane.name}-{lane.version}"))
-    queries = start_gold(spark, flow, place, [m.name for m in chosen])
-    if place.drain:
-        _await(queries)
+    tables_of = {m.name: gold_table(spark, m) for m in chosen}
+    targets = {
+        name: SharedTable(spark, table).create(class_schema(name), place.path(table), place.grain)
+        for name, table in tables_of.items()
+    }
+    old = Lane(lane.provider, lane.log_name, replaced) if replaced else None
+    for target in targets.values():
+        if target.live_version(lane) != lane.version:
+            if old:
+                target.set_live(old)
+            # Of a run that failed; a new one may cut its batches differently.
+            target.drop_version(lane)
+    live = {name for name, target in targets.items() if target.live_version(lane) == lane.version}
+    rest = [m.name for m in chosen if m.name not in live]
+    for source in {m.input for m in chosen if m.name in rest}:
+        _delete(spark, gold_checkpoint(flow, place, source))
+    queries = start_gold(spark, flow, place, rest) if rest else []
+    _await(queries)
+    for target in targets.values():
+        target.set_live(lane)
+        if old:
+            target.drop_version(old)
     return queries

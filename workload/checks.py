@@ -86,8 +86,8 @@ def profile_compare(spark, sf):
     return profile.compare_profiles(table(spark, sf, "documents"), after, ignore_case=True)
 
 
-def pages_mapping(spark, sf):
-    spec = GoldSpec(
+def pages_spec():
+    return GoldSpec(
         name="http_activity",
         input="s",
         fields=fields(
@@ -101,7 +101,10 @@ def pages_mapping(spark, sf):
             }
         ),
     )
-    return to_gold(table(spark, sf, "pages"), spec)
+
+
+def pages_mapping(spark, sf):
+    return to_gold(table(spark, sf, "pages"), pages_spec())
 
 
 @query(
@@ -148,13 +151,17 @@ def mapping_coverage(spark, sf):
 @query(
     "mapping_problems",
     """
-    SELECT 'missing' AS problem, unnest(['type_uid', 'activity_id', 'severity_id', 'metadata']) AS "column", count(*) AS rows FROM pages
-    UNION ALL SELECT 'extra', 'page_id', count(*) FROM pages""",
+    SELECT 'missing' AS problem, unnest(['type_uid', 'activity_id', 'severity_id', 'metadata']) AS "column", count(*) AS rows,
+      0::BIGINT AS filled FROM pages
+    UNION ALL SELECT 'extra', 'page_id', count(*), count(*) FILTER (page_id % 3 = 0) FROM pages
+    UNION ALL SELECT 'extra', 'host', count(*), count(url) FROM pages""",
 )
 def mapping_problems_query(spark, sf):
-    mapped = pages_mapping(spark, sf).withColumn("page_id", F.lit(1))
-    found = [F.struct(F.lit(k).alias("problem"), F.lit(c).alias("column")) for k, v in mapping_problems(mapped, "http_activity").items() for c in v]
-    return mapped.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(F.array(*found)))
+    more = {"page_id": F.when(F.col("page_id") % 3 == 0, F.col("page_id")), "host": F.parse_url("url", F.lit("HOST"))}
+    spec = pages_spec()
+    spec = GoldSpec(name=spec.name, input=spec.input, fields=(*spec.fields, *fields(more)))
+    mapped = to_gold(table(spark, sf, "pages"), spec)
+    return profile.problem_rows(mapped, mapping_problems(mapped, "http_activity"))
 
 
 @query(
@@ -200,35 +207,42 @@ def end_to_end_sample(spark, sf):
     return summary(run_batch(spark, flow, bronze=to_bronze(capped, flow.ingest)))
 
 
-SCHEMA_SQL = """
-    SELECT * FROM (VALUES
-      ('c_custkey', 'bigint', NULL, 'missing from target'), ('name', 'string', 'string', 'match'),
-      ('nationkey', 'int', 'int', 'match'), ('acctbal', 'double', 'bigint', 'type mismatch'),
-      ('s_suppkey', NULL, 'bigint', 'new in target'), ('c_mktsegment', 'string', NULL, 'missing from target'))
-      AS t("column", type_source, type_target, status)
-    WHERE (SELECT count(*) FROM customer) > 0"""
-
-
-@query("schema_diff", SCHEMA_SQL)
+@query(
+    "schema_diff",
+    """
+    WITH c AS (SELECT count(c_custkey) AS key, count(c_name) AS name, count(c_nationkey) AS nation, count(c_acctbal) AS bal,
+                 count(c_mktsegment) AS segment FROM customer),
+    s AS (SELECT count(s_suppkey) AS key, count(s_name) AS name, count(s_nationkey) AS nation,
+            count(*) FILTER (s_acctbal > 0) AS bal FROM supplier)
+    SELECT 'c_custkey' AS "column", 'bigint' AS type_source, NULL AS type_target, 'missing from target' AS status,
+      c.key AS filled_source, NULL::BIGINT AS filled_target FROM c, s
+    UNION ALL SELECT 'name', 'string', 'string', 'match', c.name, s.name FROM c, s
+    UNION ALL SELECT 'nationkey', 'int', 'int', 'match', c.nation, s.nation FROM c, s
+    UNION ALL SELECT 'acctbal', 'double', 'bigint', 'type mismatch', c.bal, s.bal FROM c, s
+    UNION ALL SELECT 's_suppkey', NULL, 'bigint', 'new in target', NULL, s.key FROM c, s
+    UNION ALL SELECT 'c_mktsegment', 'string', NULL, 'missing from target', c.segment, NULL FROM c, s""",
+)
 def schema_diff(spark, sf):
     customers = table(spark, sf, "customer").withColumnsRenamed(
         {"c_name": "NAME", "c_nationkey": "nationkey", "c_acctbal": "acctbal"}
     )
     suppliers = table(spark, sf, "supplier").select(
         "s_suppkey", F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
-        F.col("s_acctbal").cast("bigint").alias("acctbal"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).cast("bigint").alias("acctbal"),
     )
-    return schema.schema_diff(customers, suppliers, ignore_case=True)
+    return schema.filled_diff(customers, suppliers, ignore_case=True)
 
 
 @query(
     "schema_diff_nested",
     """
-    SELECT * FROM (VALUES
-      ('event_id', 'bigint', 'bigint', 'match'), ('who.id', 'bigint', 'bigint', 'match'), ('who.kind', 'string', NULL, 'missing from target'),
-      ('who.at.day', 'date', 'string', 'type mismatch'), ('who.at.zone', NULL, 'string', 'new in target'))
-      AS t("column", type_source, type_target, status)
-    WHERE (SELECT count(*) FROM events) > 0""",
+    WITH e AS (SELECT count(event_id) AS id, count(*) FILTER (user_id % 3 = 0) AS thirds, count(user_id) AS users,
+                 count(event_type) AS kinds, count(ts) AS days, count(*) AS n FROM events)
+    SELECT 'event_id' AS "column", 'bigint' AS type_source, 'bigint' AS type_target, 'match' AS status, id AS filled_source, id AS filled_target FROM e
+    UNION ALL SELECT 'who.id', 'bigint', 'bigint', 'match', users, thirds FROM e
+    UNION ALL SELECT 'who.kind', 'string', NULL, 'missing from target', kinds, NULL FROM e
+    UNION ALL SELECT 'who.at.day', 'date', 'string', 'type mismatch', days, days FROM e
+    UNION ALL SELECT 'who.at.zone', NULL, 'string', 'new in target', NULL, n FROM e""",
 )
 def schema_diff_nested(spark, sf):
     events = table(spark, sf, "events")
@@ -240,10 +254,25 @@ def schema_diff_nested(spark, sf):
     target = events.select(
         "event_id",
         F.struct(
-            F.col("user_id").alias("id"), F.struct(day.cast("string").alias("day"), F.lit("UTC").alias("zone")).alias("at")
+            F.when(F.col("user_id") % 3 == 0, F.col("user_id")).alias("id"),
+            F.struct(day.cast("string").alias("day"), F.lit("UTC").alias("zone")).alias("at"),
         ).alias("who"),
     )
-    return schema.schema_diff(source, target, flatten=True)
+    return schema.filled_diff(source, target, flatten=True)
+
+
+@query(
+    "check_in_reading_order",
+    f"""
+    {LABELLED}, shares AS ({_profile_sql({c: c for c in ('doc_id', 'lang', 'source', 'quality', 'toxic', 'never')})})
+    SELECT "column", null_pct, row_number() OVER (ORDER BY status DESC, "column") AS place FROM (
+      SELECT *, CASE WHEN null_pct = 100 THEN 'completely empty' WHEN null_pct >= 50 THEN 'high null rate' ELSE 'ok' END AS status
+      FROM shares)""",
+)
+def check_in_reading_order(spark, sf):
+    result = profile.by_status(profile.class_coverage(labelled_documents(spark, sf), threshold=50.0, required=()))
+    # One row per column of the table, so the order can be numbered in one place.
+    return result.coalesce(1).select("column", "null_pct", (F.monotonically_increasing_id() + 1).alias("place"))
 
 
 def _records(spark, sf):

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from siltstone.functions import normalize as n
 from siltstone.operators.ingest import LINEAGE_ID, to_bronze
 from siltstone.operators.layers import explode_elements, rename_column, to_gold, to_silver
+from siltstone.operators.lookups import apply_lookups
 from siltstone.plans.chain import Layers, run_batch, union_by_class
 from siltstone.plans.ocsf import conform
-from siltstone.plans.session import fresh_dir
+from siltstone.plans.session import at_end, fresh_dir
 from siltstone.plans.spec import Field, Flow, GoldSpec, Ingest, Lookup, LookupSource, SilverSpec, fields
 from siltstone.sources.files import csv_to_table, read_batch
 from workload.base import flat, instant, iso, query, table
@@ -223,17 +224,15 @@ def bronze_post_transform(spark, sf):
 @query(
     "row_id",
     """
-    SELECT event_id, 24 AS id_length, true AS is_hex FROM events""",
+    SELECT 24 AS id_length, true AS is_hex, count(*) AS rows, count(*) AS distinct_ids FROM events""",
 )
 def row_id(spark, sf):
-    return events_bronze(spark, sf).select(
-        "event_id",
-        F.length(LINEAGE_ID).alias("id_length"),
-        F.col(LINEAGE_ID).rlike("^[0-9a-f]{24}$").alias("is_hex"),
-    )
+    return events_bronze(spark, sf).groupBy(
+        F.length(LINEAGE_ID).alias("id_length"), F.col(LINEAGE_ID).rlike("^[0-9a-f]{24}$").alias("is_hex")
+    ).agg(F.count("*").alias("rows"), F.count_distinct(LINEAGE_ID).alias("distinct_ids"))
 
 
-def _written(df: DataFrame, purpose: str, source: str, **options: str) -> str:
+def written(df: DataFrame, purpose: str, source: str, **options: str) -> str:
     """The rows as raw log files in the shared folder."""
     path = fresh_dir(df.sparkSession, purpose)
     df.write.format(source).options(**options).save(path)
@@ -249,7 +248,7 @@ def _written(df: DataFrame, purpose: str, source: str, **options: str) -> str:
 )
 def read_json_variant(spark, sf):
     events = table(spark, sf, "events")
-    path = _written(
+    path = written(
         events.select(
             "event_id", "event_type", F.parse_json("props").alias("inner"),
             F.date_format(instant("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS'Z'").alias("at"),
@@ -276,7 +275,7 @@ def read_json_variant(spark, sf):
 )
 def read_csv_variant(spark, sf):
     orders = table(spark, sf, "orders")
-    path = _written(
+    path = written(
         orders.select(
             F.col("o_orderkey").alias("order-key"),
             F.when(F.col("o_orderstatus") == "P", "-").otherwise(F.col("o_orderstatus")).alias("order-status"),
@@ -299,7 +298,7 @@ def read_csv_variant(spark, sf):
     "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, s_nationkey FROM supplier",
 )
 def read_csv_with_hints(spark, sf):
-    path = _written(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), "hints", "csv", header="true")
+    path = written(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), "hints", "csv", header="true")
     ingest = Ingest(name="h", inputs=(path,), format="csv", schema_hints="s_suppkey string")
     return read_batch(spark, ingest).select("s_suppkey", "s_name", "s_nationkey")
 
@@ -309,12 +308,12 @@ def read_csv_with_hints(spark, sf):
     "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey",
 )
 def csv_lookup_table(spark, sf):
-    nations = table(spark, sf, "nation").join(
-        F.broadcast(table(spark, sf, "region")), F.col("r_regionkey") == F.col("n_regionkey")
-    )
-    path = _written(nations.select("n_nationkey", "n_name", "r_name"), "lookup", "csv", header="true")
+    regions = Lookup(LookupSource(frame=table(spark, sf, "region")), on=(("n_regionkey", "r_regionkey"),), how="inner", broadcast=True)
+    nations = apply_lookups(table(spark, sf, "nation"), [regions])
+    path = written(nations.select("n_nationkey", "n_name", "r_name"), "lookup", "csv", header="true")
     name = "nation_lookup_" + path[-12:]
     csv_to_table(spark, path, name, schema="n_nationkey int, n_name string, r_name string")
+    at_end(lambda: spark.sql(f"DROP TABLE IF EXISTS {name}"))
     lookup = Lookup(LookupSource(path=name), on=(("c_nationkey", "n_nationkey"),), how="inner", broadcast=True)
     spec = SilverSpec(
         name="s", lookups=(lookup,), fields=tuple(Field(c, source=c) for c in ("c_custkey", "n_name", "r_name"))

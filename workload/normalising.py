@@ -78,13 +78,17 @@ def silver_syslog_parse(spark, sf):
 def direction(spark, sf):
     src, dst = F.expr(SRC_ADDRESS), F.expr(DST_ADDRESS)
     declared = n.first_match([(F.col("l_linenumber") == 7, "ingress"), (F.col("l_linenumber") == 6, "egress")])
-    code = n.direction_id(F.col("src"), F.col("dst"))
+    here, there = F.col("src_private"), F.col("dst_private")
+    code = n.direction_id(here, there)
     return (
         table(spark, sf, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", src.alias("src"), dst.alias("dst"))
+        .select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            n.is_private(src).alias("src_private"), n.is_private(dst).alias("dst_private"),
+        )
         .select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", code.alias("direction_id"),
-            n.direction_id(F.col("src"), F.col("dst"), declared).alias("declared_id"),
+            n.direction_id(here, there, declared).alias("declared_id"),
             n.direction_name(F.col("direction_id")).alias("direction"),
         )
     )
