@@ -64,6 +64,13 @@ ZEEK = {
     "seconds": "CASE WHEN l_linenumber > 3 THEN l_quantity + 0.75 END",
     "sent": "l_partkey",
     "got": "CASE WHEN l_linenumber > 1 THEN l_suppkey END",
+    "mac": "CASE WHEN l_partkey % 3 > 0 THEN concat('02:00:', CAST(l_partkey AS STRING)) END",
+    "service": pick("l_suppkey", ["dns", "http", None]),
+    "history": pick("l_orderkey", ["ShADadFf", "S", None]),
+    "packets_sent": "CASE WHEN l_linenumber < 6 THEN l_linenumber END",
+    "packets_got": "CASE WHEN l_linenumber > 2 THEN l_partkey END",
+    "missed": "CASE WHEN l_linenumber = 4 THEN l_orderkey END",
+    "is_local": "l_partkey % 2 = 0",
 }
 
 ZEEK_SQL = f"""
@@ -92,7 +99,10 @@ SELECT strftime(make_timestamp(epoch * 1000000), '%Y-%m-%d %H:%M:%S') AS time, a
   lower(proto) AS connection_info_protocol_name,
   CASE lower(proto) WHEN 'icmp' THEN 1 WHEN 'tcp' THEN 6 WHEN 'udp' THEN 17 END AS connection_info_protocol_num,
   {DIRECTION_SQL} AS connection_info_direction_id, sent AS traffic_bytes_out, got AS traffic_bytes_in,
-  sent + got AS traffic_bytes, uid AS metadata_uid, seconds AS left_seconds, uid AS payload_uid,
+  sent + got AS traffic_bytes, packets_sent AS traffic_packets_out, packets_got AS traffic_packets_in,
+  packets_sent + packets_got AS traffic_packets, missed AS traffic_bytes_missed, mac AS src_endpoint_mac,
+  NULL::VARCHAR AS dst_endpoint_mac, service AS dst_endpoint_svc_name, history AS connection_info_flag_history,
+  uid AS connection_info_uid, is_local AS left_local, 'Zeek' AS metadata_product_vendor_name, uid AS metadata_uid, seconds AS left_seconds, uid AS payload_uid,
   'Network connection ' || aname || ' from ' || coalesce(src, 'unknown') || ':' || coalesce(CAST(src_port AS VARCHAR), '?')
     || ' to ' || coalesce(dst, 'unknown') || ':' || dst_port || ' (' || coalesce(upper(proto), 'unknown') || ') - ' || detail
     AS message
@@ -106,7 +116,9 @@ def zeek_network_activity(spark, sf):
         **{
             "ts": c("epoch"), "uid": c("uid"), "id.orig_h": c("src"), "id.orig_p": c("src_port"), "id.resp_h": c("dst"),
             "id.resp_p": c("dst_port"), "proto": c("proto"), "conn_state": c("state"), "duration": c("seconds"),
-            "orig_bytes": c("sent"), "resp_bytes": c("got"),
+            "orig_bytes": c("sent"), "resp_bytes": c("got"), "orig_l2_addr": c("mac"), "service": c("service"),
+            "history": c("history"), "orig_pkts": c("packets_sent"), "resp_pkts": c("packets_got"), "missed_bytes": c("missed"),
+            "local_orig": c("is_local"),
         }
     )
     gold = mapped(spark, sf, "lineitem", ZEEK, record, zeek.flow(), "network_activity")
@@ -115,8 +127,11 @@ def zeek_network_activity(spark, sf):
         "activity_id activity_name action_id action disposition_id disposition status_id status status_code "
         "status_detail type_uid type_name src_endpoint.ip src_endpoint.port dst_endpoint.ip dst_endpoint.port "
         "connection_info.protocol_name connection_info.protocol_num connection_info.direction_id traffic.bytes_out "
-        "traffic.bytes_in traffic.bytes metadata.uid message",
+        "traffic.bytes_in traffic.bytes traffic.packets_out traffic.packets_in traffic.packets traffic.bytes_missed "
+        "src_endpoint.mac dst_endpoint.mac dst_endpoint.svc_name connection_info.flag_history connection_info.uid "
+        "metadata.product.vendor_name metadata.uid message",
         time=iso("time"), end_time=iso("end_time"), left_seconds=at("$.duration", "double"),
+        left_local=at("$.local_orig", "boolean"),
         payload_uid=at("$.payload.uid", "string", "raw_data"),
     )
 
@@ -137,6 +152,12 @@ VPC = {
     "flow": "CASE l_linenumber WHEN 7 THEN 'ingress' WHEN 6 THEN 'egress' END",
     "started": "CAST(1600000000 + l_orderkey AS BIGINT)",
     "size": "CAST(l_quantity AS BIGINT)",
+    "packets": "CASE WHEN l_linenumber <> 2 THEN l_linenumber END",
+    "vpc": "concat('vpc-', CAST(l_suppkey % 9 AS STRING))",
+    "zone": pick("l_suppkey", ["use1-az1", "use1-az2", None]),
+    "region": pick("l_partkey", ["us-east-1", None]),
+    "service": pick("l_partkey", ["S3", None, "DYNAMODB"]),
+    "instance": "CASE WHEN l_orderkey % 2 = 0 THEN concat('i-', CAST(l_orderkey AS STRING)) END",
 }
 
 VPC_SQL = f"""
@@ -160,7 +181,10 @@ SELECT strftime(make_timestamp(started * 1000000), '%Y-%m-%d %H:%M:%S') AS time,
   CASE flow WHEN 'ingress' THEN 1 WHEN 'egress' THEN 2 ELSE {DIRECTION_SQL} END AS connection_info_direction_id,
   sha256(concat_ws('|', eni, coalesce(src, ''), coalesce(CAST(src_port AS VARCHAR), ''), coalesce(dst, ''), '443',
     coalesce(CAST(proto AS VARCHAR), ''), CAST(started AS VARCHAR))) AS connection_info_uid,
-  size AS traffic_bytes, account AS cloud_account_uid, reason AS left_reason,
+  size AS traffic_bytes, packets AS traffic_packets, vpc AS src_endpoint_vpc_uid, zone AS src_endpoint_zone,
+  region AS cloud_region, 'AWS' AS cloud_provider, service AS src_endpoint_svc_name, service AS dst_endpoint_svc_name,
+  instance AS src_endpoint_instance_uid, eni AS src_endpoint_interface_uid, 443 AS dst_endpoint_port, log AS status_code,
+  strftime(make_timestamp(started * 1000000), '%Y-%m-%d %H:%M:%S') AS start_time, account AS cloud_account_uid, reason AS left_reason,
   CASE WHEN src IS NULL AND dst IS NULL THEN coalesce(log, 'NODATA') || ' on eni=' || eni
     ELSE coalesce(verdict, '') || ' ' || coalesce(src, '') || ':' || coalesce(CAST(src_port AS VARCHAR), '') || ' -> '
       || coalesce(dst, '') || ':443 eni=' || eni END AS message,
@@ -181,7 +205,9 @@ def vpc_network_activity(spark, sf):
                     "dstaddr": dash("dst"), "srcport": F.col("src_port"), "dstport": F.lit(443),
                     "protocol": F.col("proto"), "action": dash("verdict"), "log-status": dash("log"),
                     "pkt-srcaddr": dash("pkt_src"), "reject-reason": dash("reason"), "flow-direction": dash("flow"),
-                    "start": F.col("started"), "end": F.col("started") + 60, "bytes": F.col("size"),
+                    "start": F.col("started"), "end": F.col("started") + 60, "bytes": F.col("size"), "packets": F.col("packets"),
+                    "vpc-id": F.col("vpc"), "az-id": dash("zone"), "region": dash("region"), "instance-id": dash("instance"),
+                    "pkt-src-aws-service": dash("service"), "pkt-dst-aws-service": dash("service"),
                 }.items()
             )
         )
@@ -191,9 +217,10 @@ def vpc_network_activity(spark, sf):
         gold,
         "activity_id type_uid type_name severity_id severity status_id status status_detail action_id action "
         "disposition src_endpoint.ip src_endpoint.port dst_endpoint.ip connection_info.protocol_num "
-        "connection_info.protocol_name connection_info.direction_id connection_info.uid traffic.bytes "
-        "cloud.account.uid message",
-        time=iso("time"), end_time=iso("end_time"), observed=pairs("observables"), left_reason=at("$.reject_reason"),
+        "connection_info.protocol_name connection_info.direction_id connection_info.uid traffic.bytes traffic.packets "
+        "src_endpoint.vpc_uid src_endpoint.zone cloud.region cloud.provider src_endpoint.svc_name dst_endpoint.svc_name "
+        "src_endpoint.instance_uid src_endpoint.interface_uid dst_endpoint.port status_code cloud.account.uid message",
+        time=iso("time"), start_time=iso("start_time"), end_time=iso("end_time"), observed=pairs("observables"), left_reason=at("$.reject_reason"),
     )
 
 
@@ -327,7 +354,25 @@ DNS = {
     "has_feed": "o_orderkey % 6 = 0",
     "has_ips": "o_orderkey % 5 = 0",
     "has_answers": "o_orderkey % 2 = 0",
+    "policy_name": "CASE WHEN o_orderkey % 3 > 0 THEN concat('Policy ', CAST(o_custkey % 5 AS STRING)) END",
+    "who": "CASE WHEN o_custkey % 4 > 0 THEN concat('u', CAST(o_custkey AS STRING)) END",
+    "device": pick("o_custkey", ["laptop", "phone", None]),
+    "place": pick("o_orderkey", ["Berlin", None]),
+    "query_size": "CASE WHEN o_custkey % 2 = 0 THEN o_custkey END",
 }
+RCODE_NAMES = [
+    "NoError", "FormError", "ServError", "NXDomain", "NotImp", "Refused", "YXDomain", "YXRRSet", "NXRRSet", "NotAuth", "NotZone",
+    "DSOTYPENI", *["Unassigned"] * 4, "BADSIG_VERS", "BADKEY", "BADTIME", "BADMODE", "BADNAME", "BADALG", "BADTRUNC", "BADCOOKIE",
+    *["Unassigned"] * 6,
+]
+RCODE_DETAILS = [
+    "No Error", "Format Error", "Server Failure", "Non-Existent Domain", "Not Implemented", "Query Refused",
+    "Name Exists When It Should Not", "RR Set Exists When It Should Not", "RR Set That Should Exist Does Not",
+    "Not Authorized or Server Not Authoritative For Zone", "Name Not Contained in Zone", "DSO-TYPE Not Implemented",
+    *["Unassigned"] * 4, "TSIG Signature Failure or Bad OPT Version", "Key Not Recognized", "Signature Out of Time Window",
+    "Bad TKEY Mode", "Duplicate Key Name", "Algorithm Not Supported", "Bad Truncation", "Bad or Missing Server Cookie",
+    *["Unassigned"] * 6,
+]
 
 DNS_SQL = f"""
 {attributes(DNS, "orders")},
@@ -348,6 +393,10 @@ SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS time, CASE WHEN has_answers
   concat_ws(';', 'query_hostname=' || host, CASE WHEN has_ips THEN 'resolved_ip=192.0.2.1;resolved_ip=192.0.2.2' END) AS observed,
   CASE WHEN has_answers THEN 2 END AS n_answers, CASE WHEN has_answers THEN 300 END AS first_ttl,
   CASE WHEN has_ips THEN 'DE' END AS dst_endpoint_location_country, policy IS NOT NULL AS policy_is_applied,
+  coalesce({RCODE_NAMES}[code + 1], 'Other') AS rcode, coalesce({RCODE_DETAILS}[code + 1], 'Other') AS status_detail,
+  policy_name AS policy_name, policy AS policy_uid, who AS src_endpoint_uid, device AS src_endpoint_domain,
+  place AS dst_endpoint_location_city, query_size AS traffic_bytes_in, qtype AS query_type, 'IN' AS query_class,
+  lower(transport) AS connection_info_protocol_name, query_id AS connection_info_uid, query_id AS metadata_correlation_uid,
   host AS query_hostname, query_id AS metadata_uid, decision AS left_decision,
   'DNS ' || aname || ' for ' || host || ' (' || qtype || ') - ' || coalesce(CAST(code AS VARCHAR), 'Unknown')
     || coalesce(' - Decision: ' || decision, '') AS message
@@ -363,7 +412,8 @@ def dns_activity(spark, sf):
     )
     record = json_record(
         Datetime=c("day"), QueryID=c("query_id"), QueryName=c("host"), QueryTypeName=c("qtype"), RCode=c("code"),
-        Protocol=c("transport"), ResolverDecision=c("decision"), PolicyID=c("policy"),
+        Protocol=c("transport"), ResolverDecision=c("decision"), PolicyID=c("policy"), PolicyName=c("policy_name"),
+        UserID=c("who"), DeviceName=c("device"), Location=c("place"), QuerySize=c("query_size"),
         MatchedCategoryNames=F.when(c("has_categories"), texts("Malware", "Ads")),
         MatchedIndicatorFeedNames=F.when(c("has_feed"), texts("Feed", None)),
         ResolvedIPs=F.when(c("has_ips"), texts("192.0.2.1", None, "192.0.2.2")),
@@ -375,7 +425,9 @@ def dns_activity(spark, sf):
         gold,
         "activity_id activity_name type_name type_uid rcode_id status_id status status_code "
         "connection_info.protocol_num action_id action disposition_id disposition dst_endpoint.location.country "
-        "policy.is_applied query.hostname metadata.uid message",
+        "policy.is_applied rcode status_detail policy.name policy.uid src_endpoint.uid src_endpoint.domain "
+        "dst_endpoint.location.city traffic.bytes_in query.type query.class connection_info.protocol_name "
+        "connection_info.uid metadata.correlation_uid query.hostname metadata.uid message",
         time=iso("time"), enriched=pairs("enrichments"), observed=pairs("observables"),
         n_answers=F.when(F.col("answers").isNotNull(), F.size("answers")),
         first_ttl=F.get("answers", F.lit(0))["ttl"], left_decision=at("$.ResolverDecision"),
@@ -402,6 +454,10 @@ OKTA = {
     "target_name": "CASE WHEN event_id % 3 > 0 THEN concat('bob', CAST(user_id AS STRING)) END",
     "grp": "CASE WHEN event_id % 4 > 0 THEN concat('g', CAST(user_id AS STRING)) END",
     "isp": "CASE WHEN event_id % 2 = 0 THEN 'net' END",
+    "full_name": "CASE WHEN user_id % 5 > 0 THEN concat('Ann ', CAST(user_id AS STRING)) END",
+    "session": "CASE WHEN event_id % 6 > 0 THEN concat('s', CAST(user_id AS STRING)) END",
+    "city": pick("user_id", ["Oslo", "Lyon", None]),
+    "reason": pick("event_id", [None, "INVALID_CREDENTIALS", "LOCKED_OUT"]),
 }
 
 
@@ -430,10 +486,19 @@ def _okta(spark, sf, name):
     body = F.to_json(
         F.struct(
             c("uid").alias("uuid"), F.date_format(c("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("published"),
-            c("kind").alias("eventType"), c("level").alias("severity"), F.struct(c("outcome").alias("result")).alias("outcome"),
-            F.struct(c("uid").alias("id"), c("actor_name").alias("alternateId")).alias("actor"),
-            F.struct(F.lit("10.0.0.1").alias("ipAddress")).alias("client"), F.struct(c("isp").alias("isp")).alias("securityContext"),
-            F.struct(c("credential").alias("credentialType"), c("interface").alias("interface")).alias("authenticationContext"),
+            c("kind").alias("eventType"), c("level").alias("severity"),
+            F.struct(c("outcome").alias("result"), c("reason").alias("reason")).alias("outcome"),
+            F.struct(
+                c("uid").alias("id"), c("actor_name").alias("alternateId"), c("full_name").alias("displayName"), F.lit("User").alias("type")
+            ).alias("actor"),
+            F.struct(
+                F.lit("10.0.0.1").alias("ipAddress"),
+                F.struct(c("city").alias("city"), F.lit("X").alias("country"), F.lit("Y").alias("state")).alias("geographicalContext"),
+            ).alias("client"),
+            F.struct(c("isp").alias("isp")).alias("securityContext"),
+            F.struct(
+                c("credential").alias("credentialType"), c("interface").alias("interface"), c("session").alias("externalSessionId")
+            ).alias("authenticationContext"),
             F.parse_json(targets).alias("target"),
         )
     )
@@ -464,7 +529,9 @@ OKTA_SHARED = """strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, uid AS metadata_uid,
       CASE WHEN interface IS NOT NULL THEN 'SAML' WHEN credential = 'OTP' THEN 'TOTP' WHEN credential = 'PASSWORD' THEN 'Password'
         ELSE credential END AS auth_protocol,
       CASE WHEN interface IS NOT NULL THEN 5 WHEN credential = 'OTP' THEN 99 WHEN credential = 'PASSWORD' THEN 1 ELSE 0 END AS auth_protocol_id,
-      actor_name AS user_name, 'Okta' AS dst_endpoint_name,
+      actor_name AS user_name, full_name AS user_full_name, uid AS user_uid, 'User' AS user_type, session AS session_uid,
+      city AS src_endpoint_location_city, 'X' AS src_endpoint_location_country, 'Y' AS src_endpoint_location_region,
+      reason AS status_detail, kind AS metadata_event_code, 'Okta' AS dst_endpoint_name,
       concat_ws(';', 'user.name=' || actor_name, 'src_endpoint.ip=10.0.0.1') AS observed,
       coalesce('isp=' || isp, '') AS enriched, credential AS left_credential
     FROM s""",
@@ -473,7 +540,9 @@ def okta_authentication(spark, sf):
     return flat(
         _okta(spark, sf, "authentication"),
         "status_code severity_id severity activity_id activity_name type_uid type_name status_id status action is_mfa "
-        "is_remote auth_protocol auth_protocol_id user.name dst_endpoint.name metadata.uid",
+        "is_remote auth_protocol auth_protocol_id user.name user.full_name user.uid user.type session.uid "
+        "src_endpoint.location.city src_endpoint.location.country src_endpoint.location.region status_detail "
+        "metadata.event_code dst_endpoint.name metadata.uid",
         time=iso("time"), observed=pairs("observables"), enriched=pairs("enrichments"),
         left_credential=at("$.auth_credential_type"),
     )
