@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import Columns, as_documents, free_name, map_groups, stage, text_key
+from siltstone.llm.common import Columns, as_documents, attach, free_name, map_groups, stage, text_key
 
 SPAN = 1 << 26  # bytes of one text looked at together; longer texts go on with an overlap
 
@@ -376,8 +376,8 @@ def repeated_spans(texts: DataFrame, params: Params) -> DataFrame:
     mixed = met.where("mixed")
     distinct = mixed.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("x", "y", "begin", "end", "at")).alias("one"))
     distinct = stage(distinct, "contexts")
-    full = distinct.where("copies > 1").select("h", "context")
-    spans = spans.unionByName(mixed.join(full, ["h", "context"]).select(*span))
+    full = stage(distinct.where("copies > 1").select("h", "context"), "repeated-contexts")
+    spans = spans.unionByName(attach(mixed, full, ["h", "context"]).select(*span))
 
     counts = stage(distinct.groupBy("h").agg(F.count("*").alias("contexts")), "context-counts")
     told = F.struct("h", "one.begin", "one.end", "one.at", "copies", "contexts").alias("w")
