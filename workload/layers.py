@@ -345,6 +345,30 @@ def silver_variant_fields(spark, sf):
     return to_silver(events_bronze(spark, sf), spec).drop(LINEAGE_ID)
 
 
+@query(
+    "silver_csv_in_text",
+    """
+    SELECT event_id, CAST(user_id AS INTEGER) AS who, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS what,
+           round(value, 2) AS amount
+    FROM events""",
+)
+def silver_csv_in_text(spark, sf):
+    """A CSV line inside a record, read by a field expression."""
+    line = F.concat_ws(
+        ";", F.col("user_id").cast("string"), F.when(F.col("event_type") == "error", "-").otherwise(F.col("event_type")),
+        F.round("value", 2).cast("string"),
+    )
+    spec = SilverSpec(
+        name="s",
+        temporary=(Field("parts", "from_csv(value, 'who int, what string, amount double', map('sep', ';', 'nullValue', '-'))"),),
+        fields=(
+            Field("event_id", source="event_id"), Field("who", source="parts.who"),
+            Field("what", source="parts.what"), Field("amount", source="parts.amount"),
+        ),
+    )
+    return to_silver(table(spark, sf, "events").select("event_id", line.alias("value")), spec)
+
+
 @query(
     "silver_temp_preserve",
     """

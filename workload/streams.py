@@ -117,6 +117,23 @@ ACTIVITY_ROWS = f"""
     FROM events"""
 
 
+@query("stream_running", ACTIVITY_ROWS)
+def stream_running(spark, sf):
+    """All layers run on side by side, a micro-batch a second, until they are stopped."""
+    with own_database(spark) as (database, place):
+        running = dataclasses.replace(place, drain=False, interval="1 second")
+        started = []
+        try:
+            for layer in LAYERS:
+                started += run_stream(spark, _events(sf), running, layers=[layer])
+                for stream in started:
+                    stream.processAllAvailable()
+        finally:
+            for stream in started:
+                stream.stop()
+    return flat(SharedTable(spark, f"{database}.api_activity").frame(), ACTIVITY_COLUMNS, time=iso("time"))
+
+
 @query("class_tables_then_stream", ACTIVITY_ROWS)
 def class_tables_then_stream(spark, sf):
     """All class tables are made beforehand, as an administrator does."""
