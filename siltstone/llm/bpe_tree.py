@@ -41,7 +41,7 @@ DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
 LEAF_CHARS = 4096
 SEGMENT_CHARS = 1 << 15  # a longer text is encoded by several tasks
 FIRST_WINDOW = 8
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 # All versions of Unicode class these characters alike.
 SURE = re.compile("[^\t\n\r -~¡-ɏ‐-‧€]")

@@ -10,7 +10,7 @@ prototype has the largest cosine with it.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -105,15 +105,18 @@ class Vectors:
         return total
 
 
-def _batches(lists: list[np.ndarray]) -> Iterator[slice]:
-    start, size = 0, 0
-    for k, x in enumerate(lists):
-        if k > start and (k - start >= BLOCK_TEXTS or size + len(x) > BLOCK_CHARS):
-            yield slice(start, k)
-            start, size = k, 0
+def _batches(texts: Iterable[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Runs of some texts at a time, with the place of the first text."""
+    start, size, lists = 0, 0, []
+    for text in texts:
+        x = grams(text)
+        if lists and (len(lists) >= BLOCK_TEXTS or size + len(x) > BLOCK_CHARS):
+            yield start, lists
+            start, size, lists = start + len(lists), 0, []
+        lists.append(x)
         size += len(x)
-    if start < len(lists):
-        yield slice(start, len(lists))
+    if lists:
+        yield start, lists
 
 
 def fit(documents: DataFrame, text: str, lang: str, params: Params = Params()) -> dict[str, np.ndarray]:
@@ -128,9 +131,8 @@ def fit(documents: DataFrame, text: str, lang: str, params: Params = Params()) -
         sums: dict[str, np.ndarray] = {}
         for frame in frames:
             for value, texts in frame.groupby("lang", sort=False)["text"]:
-                lists = [grams(t) for t in texts]
-                for part in _batches(lists):
-                    joint = np.concatenate(lists[part])
+                for _, lists in _batches(texts):
+                    joint = np.concatenate(lists)
                     if len(joint):
                         sums[value] = sums.get(value, 0) + vectors.sums([joint])[0]
             if len(sums) > params.most_languages:
@@ -157,12 +159,11 @@ def predictor(prototypes: dict[str, np.ndarray], params: Params = Params()):
         vectors = Vectors(params)
         for texts in parts:
             pred, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            lists = [grams(t) for t in texts]
-            for part in _batches(lists):
-                some = [k for k in range(part.start, part.stop) if len(lists[k])] if names else []
+            for start, lists in _batches(texts):
+                some = [start + k for k, x in enumerate(lists) if len(x)] if names else []
                 if not some:
                     continue
-                own = vectors.sums([lists[k] for k in some])
+                own = vectors.sums([x for x in lists if len(x)])
                 norms = np.linalg.norm(own, axis=1)
                 cosine = own @ table.T / np.where(norms == 0, 1, norms)[:, None]
                 best = cosine.argmax(axis=1)  # of equal ones the first in code point order

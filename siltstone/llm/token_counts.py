@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 LIMIT = 2048
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 # All versions of Unicode class and lower-case these characters alike, and none is part of a composition.
 SURE = re.compile("[^\t\n\r -~¡-įĲ-ɏ‐-‧€]")
 
