@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,23 @@ from siltstone.plans.session import fresh_dir
 
 # A table is broadcast only when it has been counted and has at most this many rows.
 BROADCAST_ROWS = 100_000
+# Texts are large rows: by default Spark hands a Python worker up to 64 MB of them at once,
+# which it then holds several times over.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 SALTS = 16
 OUTPUT_ROWS = 20_000
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Session settings that bound what the operators' Python workers hold; they can change at run time."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_dir(df.sparkSession, f"llm-{purpose}")

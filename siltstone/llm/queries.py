@@ -18,6 +18,7 @@ from siltstone.llm import (
     token_counts,
     warc,
 )
+from siltstone.llm.common import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +28,7 @@ def query(name: str, table: str, sql: str | None = None):
     """Register a function of one table; rows come from all of it."""
 
     def register(build: Callable[[DataFrame], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: build(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        QUERIES[name] = lambda spark, sf_dir: build(configure(spark).read.parquet(f"{sf_dir}/{table}.parquet"))
         if sql is not None:
             ORACLES[name] = sql
         return build

@@ -41,7 +41,7 @@ class Params:
     length: int = 400
     gram: int = 64
     group_contexts: int = 256
-    block_bytes: int = 1 << 18
+    block_bytes: int = 1 << 17
     widths: tuple[int, ...] = (64, 8, 1)
 
 
