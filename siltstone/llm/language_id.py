@@ -24,6 +24,7 @@ from siltstone.llm.common import free_name
 UNKNOWN = "und"
 GRAM = 3
 BLOCK_GRAMS = 4096
+BLOCK_CELLS = 1 << 21
 BLOCK_TEXTS = 128
 BLOCK_CHARS = 1 << 18
 GAP = 0
@@ -33,7 +34,7 @@ GAP = 0
 class Params:
     """``dims`` of the vectors; more than ``most_languages`` learned values are an error, not cut off."""
 
-    dims: int = 2048
+    dims: int = 1024
     seed: int = 11
     most_languages: int = 1024
 
@@ -94,14 +95,16 @@ class Vectors:
         distinct, at = np.unique(np.concatenate(lists), return_inverse=True) if len(owner) else (np.empty(0, np.uint64), owner)
         # Counts of a run in a text stay exact in 32 bits below 2^24; so do the products' sums.
         kind = np.float32 if max(map(len, lists), default=0) < 1 << 24 else np.float64
-        order = np.argsort(at, kind="stable")
-        at, owner = at[order], owner[order]
-        for start in range(0, len(distinct), BLOCK_GRAMS):
-            a, b = np.searchsorted(at, [start, start + BLOCK_GRAMS])
-            width = min(BLOCK_GRAMS, len(distinct) - start)
-            cell = owner[a:b] * width + (at[a:b] - start)
-            counts = np.bincount(cell, minlength=len(lists) * width).reshape(len(lists), width)
-            total += counts.astype(kind) @ self(distinct[start : start + BLOCK_GRAMS]).astype(kind)
+        # Some texts at a time, so that the table of their counts stays small.
+        step = max(1, BLOCK_CELLS // max(1, len(distinct)))
+        for first in range(0, len(lists), step):
+            some = slice(*np.searchsorted(owner, [first, first + step]))
+            rows = min(step, len(lists) - first)
+            cells = (owner[some] - first) * len(distinct) + at[some]
+            counts = np.bincount(cells, minlength=rows * len(distinct)).reshape(rows, -1)
+            for start in range(0, len(distinct), BLOCK_GRAMS):
+                part = counts[:, start : start + BLOCK_GRAMS].astype(kind)
+                total[first : first + rows] += part @ self(distinct[start : start + BLOCK_GRAMS]).astype(kind)
         return total
 
 
@@ -210,7 +213,7 @@ def identify(
 
 
 def recognised(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.01, params: Params = Params()
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.015, params: Params = Params()
 ) -> DataFrame:
     """The documents whose language is told with a cosine of ``least`` or more, columns as they are.
 

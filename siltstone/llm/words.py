@@ -10,7 +10,7 @@ import xxhash
 # Runs of digits, letters and everything beyond ASCII.  In UTF-8 every byte of a character
 # beyond ASCII is 0x80 or more, so the byte pattern finds the same runs as the characters would.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 500_000
 
 
 def words(text: bytes | None) -> list[bytes]:
