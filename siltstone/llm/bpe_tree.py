@@ -41,7 +41,7 @@ DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
 LEAF_CHARS = 4096
 SEGMENT_CHARS = 1 << 15  # a longer text is encoded by several tasks
 FIRST_WINDOW = 8
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 # All versions of Unicode class these characters alike.
 SURE = re.compile("[^\t\n\r -~¡-ɏ‐-‧€]")
@@ -51,6 +51,25 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_characters() -> dict[int, str]:
+    """The printable character the tokenizer writes for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class Words(dict):
+    """Ids of words seen, as bytes; a word asked for the first time is encoded."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.merged, self.characters = tokenizer.model.tokenize, byte_characters()
+
+    def __missing__(self, word: str) -> bytes:
+        written = word.encode().decode("latin-1").translate(self.characters)
+        self[word] = ids = array("I", [t.id for t in self.merged(written)]).tobytes()
+        return ids
+
+
 class Encoder:
     """One tokenizer file, and what a task remembers of it."""
 
@@ -62,15 +81,12 @@ class Encoder:
         specials = sorted((t["content"] for t in config["added_tokens"]), key=len, reverse=True)
         self.special_ids = {t["content"]: np.array([t["id"]], "<u4") for t in config["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
-        self.known: dict[str, bytes] = {}
+        self.known = Words(self.tokenizer)
         self.pieces = self._pieces()
 
     def _pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes of all tokens end to end, where each begins, and their lengths."""
-        # The tokenizer writes each byte as a printable character, in this order.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in set(plain)]
-        byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+        byte_of = {c: b for b, c in byte_characters().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         tokens: list[bytes] = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
@@ -79,26 +95,16 @@ class Encoder:
         lengths = np.array([len(t) for t in tokens])
         return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
 
-    def learn(self, texts: list[str]) -> list[list[str] | None]:
-        """The words of each text, whose ids are then known; None where the library must part it."""
-        parted = [None if SURE.search(t) else PATTERN.findall(t) for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in set().union(*(p for p in parted if p)) if w not in known]
-        encode = self.tokenizer.encode
-        for word in new:
-            known[word] = array("I", encode(word, add_special_tokens=False).ids).tobytes()
-        return parted
-
     def leaves(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts without special tokens."""
         known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4")
-            if words is None
-            else np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-            for t, words in zip(texts, self.learn(texts), strict=True)
+            if SURE.search(t)
+            else np.frombuffer(b"".join(map(known.__getitem__, PATTERN.findall(t))), "<u4")
+            for t in texts
         ]
 
     def flat(self, text: str) -> np.ndarray:

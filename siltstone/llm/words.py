@@ -18,20 +18,17 @@ def words(text: bytes | None) -> list[bytes]:
     return WORD.findall(text.lower()) if text else []
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, remembered in a table that is emptied when it grows too large."""
 
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
 
     def __call__(self, found: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        for w in set(found):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+        if len(self) > CACHE_ENTRIES:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
