@@ -28,13 +28,16 @@ BLOCK_CELLS = 1 << 21
 BLOCK_TEXTS = 128
 BLOCK_CHARS = 1 << 18
 GAP = 0
+# Standard errors of a cosine that noise may take, and more even runs than any language has.
+MARGIN = 4
+MOST_RUNS = 1 << 16
 
 
 @dataclass(frozen=True)
 class Params:
     """``dims`` of the vectors; more than ``most_languages`` learned values are an error, not cut off."""
 
-    dims: int = 1024
+    dims: int = 2048
     seed: int = 11
     most_languages: int = 1024
 
@@ -154,14 +157,14 @@ def fit(documents: DataFrame, text: str, lang: str, params: Params = Params()) -
 
 
 def predictor(prototypes: dict[str, np.ndarray], params: Params = Params()):
-    """Column function: text to struct ``lang_pred, score``."""
+    """Column function: text to struct ``lang_pred, score, likely``; see ``recognised`` for the last."""
     names = sorted(k for k, v in prototypes.items() if np.linalg.norm(v) > 0)
     table = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]).reshape(len(names), params.dims)
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vectors = Vectors(params)
         for texts in parts:
-            pred, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            pred, score, likely = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts), bool)
             for start, lists in _batches(texts):
                 some = [start + k for k, x in enumerate(lists) if len(x)] if names else []
                 if not some:
@@ -172,9 +175,21 @@ def predictor(prototypes: dict[str, np.ndarray], params: Params = Params()):
                 best = cosine.argmax(axis=1)  # of equal ones the first in code point order
                 pred[some] = [names[b] for b in best]
                 score[some] = np.clip(cosine[np.arange(len(some)), best], 0, 1)
-            yield pd.DataFrame({"lang_pred": pred, "score": score})
+                likely[some] = score[some] + MARGIN / np.sqrt(params.dims) >= least_likeness([len(x) for x in lists if len(x)], norms, params.dims)
+            yield pd.DataFrame({"lang_pred": pred, "score": score, "likely": likely})
 
-    return F.pandas_udf(run, "lang_pred string, score double")
+    return F.pandas_udf(run, "lang_pred string, score double, likely boolean")
+
+
+def least_likeness(runs: list[int], norms: np.ndarray, dims: int) -> np.ndarray:
+    """The cosine of texts with a language of ``MOST_RUNS`` equally frequent runs, that they are drawn from.
+
+    Runs that repeat count for less: ``n`` runs with counts c are as good as n^2 / sum(c^2)
+    different ones, and the squared norm is about ``dims`` times that sum.
+    """
+    n = np.array(runs, np.float64)
+    n = np.minimum(n, n**2 * dims / np.maximum(norms, 1) ** 2)
+    return np.sqrt(n / (n + MOST_RUNS))
 
 
 def held_out(doc_id: str) -> Column:
@@ -213,14 +228,15 @@ def identify(
 
 
 def recognised(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.015, params: Params = Params()
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", params: Params = Params()
 ) -> DataFrame:
-    """The documents whose language is told with a cosine of ``least`` or more, columns as they are.
+    """The documents whose language can be told, columns as they are.
 
-    The cosine of unrelated vectors is about 1 / sqrt(dims); the default is half of that:
-    only texts without letters, or with no likeness to any language learned, are rejected.
+    Rejected are texts without letters, and those surely unlike every language learned:
+    their score, with 4 standard errors of 1 / sqrt(dims) added, is below
+    ``least_likeness`` of their number of runs.  With 2048 dimensions no text of under 500 runs is.
     """
     predict = learned(documents, doc_id, text, lang, params)
     guess = free_name(documents, "guess")
     marked = documents.withColumn(guess, predict(F.col(text).cast("string")))
-    return marked.where((F.col(guess)["lang_pred"] != UNKNOWN) & (F.col(guess)["score"] >= least)).drop(guess)
+    return marked.where((F.col(guess)["lang_pred"] != UNKNOWN) & F.col(guess)["likely"]).drop(guess)
