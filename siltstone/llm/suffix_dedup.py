@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import Columns, as_documents, attach, free_name, map_groups, stage, text_key
 
 SPAN = 1 << 26  # bytes of one text looked at together; longer texts go on with an overlap
+# What a passage of over 50 words comes to at least, at four letters and a blank a word.
+PASSAGE = 250
 
 
 @dataclass(frozen=True)
@@ -414,17 +416,31 @@ def cut(text: bytes, spans: np.ndarray | None) -> tuple[list[bytes], int]:
 
 
 def _digests():
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, spans in parts:
+    def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for texts, spans, passages in parts:
             rows = []
-            for text, s in zip(texts, spans, strict=True):
-                text = bytes(text or b"")
+            for raw, s, q in zip(texts, spans, passages, strict=True):
+                text = bytes(raw or b"")
                 left, n = cut(text, s)
                 kept = sum(map(len, left))
-                rows.append((len(text), len(text) - kept, n, hashlib.sha256(b"".join(left)).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                clean, _ = cut(text, q)
+                rows.append((
+                    len(text), len(text) - kept, n, hashlib.sha256(b"".join(left)).hexdigest(), len(text) - sum(map(len, clean)),
+                    None if raw is None else "".join(p.decode("utf-8", "ignore") for p in clean),
+                ))
+            yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "text"])
+
+    return F.pandas_udf(run, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, text string")
+
 
-    return F.pandas_udf(run, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def _longest():
+    """Bytes of the longest maximal run of a list of spans."""
+
+    def run(spans: pd.Series) -> pd.Series:
+        edges = (merged(np.array([s["begin"] for s in x]), np.array([s["end"] for s in x])) for x in spans)
+        return pd.Series([int((end - begin).max()) for begin, end in edges], dtype="int64")
+
+    return F.pandas_udf(run, "long")
 
 
 def _remaining():
@@ -444,22 +460,34 @@ def removals(keyed: DataFrame, x: str, y: str, text: str, params: Params) -> Dat
     return repeated_spans(plain, params).groupBy("x", "y").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
+def dedup(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = Params(), passage: int = PASSAGE
+) -> DataFrame:
     """What is left without repeated strings: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else too,
     in the same document or another; all copies go.  Strings never run over a
-    document's end, and are judged on the texts as given.
+    document's end, and are judged on the texts as given.  Two more columns tell the same
+    of strings of ``passage`` bytes, at most ``length``: ``n_passage_bytes``, how many bytes
+    they cover, and ``text``, what is left as text (see ``without_repeats``).
+
+    A string of ``length`` bytes that repeats lies within one run of repeated strings of
+    ``passage`` bytes, so only documents with a run that long are searched for it.
 
-    Defined cases: a null text counts as empty; texts shorter than ``length`` stay whole;
-    a null doc_id is kept as such; repeated rows are copies of each other, so long ones
-    go altogether, and each gets its row; an empty table gives no rows; other columns are
-    not looked at.
+    Defined cases: a null text counts as empty, and its ``text`` is null; texts shorter than
+    ``passage`` stay whole; a null doc_id is kept as such; repeated rows are copies of each
+    other, so long ones go altogether, and each gets its row; an empty table gives no rows;
+    other columns are not looked at.
     """
+    if not params.gram <= passage <= params.length:
+        raise ValueError("passage must lie between gram and length")
     docs = as_documents(documents, doc_id, text)
     keyed = docs.withColumns(dict(zip("xy", text_key("doc_id", "text"), strict=True)))
-    out = keyed.join(removals(keyed, "x", "y", "text", params), ["x", "y"], "left")
-    return out.select("doc_id", _digests()(F.col("text").cast("binary"), F.col("spans")).alias("d")).select("doc_id", "d.*")
+    short = stage(removals(keyed, "x", "y", "text", replace(params, length=passage)).withColumnRenamed("spans", "passages"), "passages")
+    holders = short.where(_longest()("passages") >= params.length).select("x", "y")
+    held = stage(keyed.join(stage(holders, "holders"), ["x", "y"], "left_semi"), "held-texts")
+    out = keyed.join(short, ["x", "y"], "left").join(removals(held, "x", "y", "text", params), ["x", "y"], "left")
+    return out.select("doc_id", _digests()(F.col("text").cast("binary"), F.col("spans"), F.col("passages")).alias("d")).select("doc_id", "d.*")
 
 
 def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:

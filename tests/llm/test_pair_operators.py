@@ -1,6 +1,7 @@
 """Similarity joins, neighbours and suffix sorting against plain versions."""
 
 import random
+import re
 from itertools import combinations
 
 import edge
@@ -191,8 +192,18 @@ def expected_cut(rows, length):
 def test_suffix_dedup_edges(spark, length, gram, contexts):
     rows = [r for r in edge.documents() if length == 400 or len(r[1] or "") < 20_000]
     params = suffix_dedup.Params(length=length, gram=gram, group_contexts=contexts, block_bytes=5000)
-    assert edge.rows_of(suffix_dedup.dedup(edge.frame(spark, rows, clashes=True), params=params)) == expected_cut(rows, length)
-    assert suffix_dedup.dedup(edge.frame(spark, []), params=params).count() == 0
+    for passage in (length, max(gram, length * 5 // 8)):
+        out = suffix_dedup.dedup(edge.frame(spark, rows, clashes=True), params=params, passage=passage)
+        base = out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert edge.rows_of(base) == expected_cut(rows, length)
+        texts = [(r[1] or "").encode() for r in rows]
+        expected = []
+        for r, t, mask in zip(rows, texts, edge.repeated_bytes(texts, passage), strict=True):
+            runs = re.split(b"\xff+", bytes(np.where(mask, 255, np.frombuffer(t, np.uint8)).astype(np.uint8)))
+            left = b"".join(p.decode("utf-8", "ignore").encode() for p in runs).decode()
+            expected.append((r[0], int(mask.sum()), None if r[1] is None else left))
+        assert edge.rows_of(out.select("doc_id", "n_passage_bytes", "text")) == sorted(expected, key=repr)
+    assert suffix_dedup.dedup(edge.frame(spark, []), params=params, passage=length).count() == 0
 
 
 def test_suffix_dedup_of_texts_longer_than_a_span(spark, monkeypatch):
