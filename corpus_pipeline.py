@@ -21,9 +21,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings that repeat elsewhere; ``n_chars`` follows the text."""
+    """Texts without passages of over 50 words that repeat elsewhere; ``n_chars`` follows the text."""
     configure(spark)
-    left = suffix_dedup.without_repeats(docs)
+    left = suffix_dedup.without_repeats(docs, params=suffix_dedup.Params(length=suffix_dedup.PASSAGE))
     return left.selectExpr(*["CAST(length(text) AS BIGINT) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
 
 
