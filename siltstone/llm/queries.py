@@ -14,6 +14,7 @@ from siltstone.llm import (
     license_scan,
     mixing,
     ngram_join,
+    periodic_runs,
     suffix_dedup,
     token_counts,
     warc,
@@ -199,3 +200,8 @@ FROM documents d LEFT JOIN low ON d.doc_id = low.a LEFT JOIN counted c ON d.doc_
 @query("op10_ngram_jaccard_join", "documents", NGRAM_SQL)
 def op10(documents: DataFrame) -> DataFrame:
     return ngram_join.join(documents)
+
+
+@query("op12_periodic_runs", "documents")
+def op12(documents: DataFrame) -> DataFrame:
+    return periodic_runs.collapse(documents, planted=True)
