@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import (
     bpe_tree,
+    conversation_trie,
     cross_polytope,
     embedding_dedup,
     language_id,
@@ -205,3 +206,43 @@ def op10(documents: DataFrame) -> DataFrame:
 @query("op12_periodic_runs", "documents")
 def op12(documents: DataFrame) -> DataFrame:
     return periodic_runs.collapse(documents, planted=True)
+
+
+# The CRC-32 of the id in decimal, bit by bit.
+TRIE_SQL = """
+WITH turns AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS r, coalesce(text, '') AS x
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT c, count(*) AS n, c - c % 5 AS base, xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda a, d: list_reduce(list_prepend(xor(a, d), range(8)),
+            lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END))) % 9 AS h
+    FROM turns GROUP BY c
+), rebuilt AS (
+    SELECT i.c, t.pos, t.r, t.x FROM ids i JOIN turns t ON t.c = i.base AND t.pos < i.h
+    UNION ALL
+    SELECT i.c, t.pos - i.h + least(i.h, coalesce(b.n, 0)), t.r, t.x
+    FROM ids i JOIN turns t ON t.c = i.c AND t.pos >= i.h LEFT JOIN ids b ON b.c = i.base
+), paths AS (
+    SELECT c, pos + 1 AS depth, string_agg(md5(length(r) || ':' || r || x), '') OVER (PARTITION BY c ORDER BY pos) AS path, octet_length(encode(x)) AS size
+    FROM rebuilt
+    UNION ALL SELECT c, 0, '', 0 FROM ids
+), ends AS (
+    SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM (SELECT c, arg_max(path, depth) AS path FROM paths GROUP BY c) GROUP BY path
+), bare AS (
+    SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM paths GROUP BY path, depth
+), nodes AS (
+    SELECT b.*, coalesce(n, 0) AS n_children, left(path, greatest(len(path) - 32, 0)) AS above
+    FROM bare b LEFT JOIN (SELECT left(path, len(path) - 32) AS up, count(*) AS n FROM bare WHERE depth > 0 GROUP BY up) ON path = up
+)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+    (SELECT count(*) FROM nodes u WHERE starts_with(u.path, v.path) AND u.n_children = 0) AS n_leaves,
+    (SELECT sum((u.n_convs - 1) * u.size) FROM nodes u WHERE starts_with(u.path, v.path))::BIGINT AS saved_tokens,
+    sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes v LEFT JOIN bare p ON v.depth > 0 AND p.path = v.above LEFT JOIN ends e ON e.path = v.path"""
+
+
+@query("op11_conversation_trie", "conversations", TRIE_SQL)
+def op11(conversations: DataFrame) -> DataFrame:
+    return conversation_trie.prefix_trie(conversations, rebuild=True)
