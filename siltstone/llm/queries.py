@@ -16,6 +16,7 @@ from siltstone.llm import (
     mixing,
     ngram_join,
     periodic_runs,
+    recurrent_lm,
     suffix_dedup,
     token_counts,
     warc,
@@ -246,3 +247,8 @@ FROM nodes v LEFT JOIN bare p ON v.depth > 0 AND p.path = v.above LEFT JOIN ends
 @query("op11_conversation_trie", "conversations", TRIE_SQL)
 def op11(conversations: DataFrame) -> DataFrame:
     return conversation_trie.prefix_trie(conversations, rebuild=True)
+
+
+@query("op13_recurrent_lm", "documents")
+def op13(documents: DataFrame) -> DataFrame:
+    return recurrent_lm.score(documents)
