@@ -37,18 +37,20 @@ class Params:
     """``words`` symbols of the network in classes of ``class_size``; ``known`` words counted in every task.
 
     Up to ``lanes`` texts are read side by side in windows of ``window`` words; a worker holds about
-    ``group`` tokens at once, so that a long text does not leave the other lanes idle.
+    ``group`` tokens at once, so that a long text does not leave the other lanes idle, and
+    trains on parts of ``part`` tokens.
     """
 
-    words: int = 1024
-    class_size: int = 32
+    words: int = 512
+    class_size: int = 16
     known: int = 65_536
     hidden: int = 16
     window: int = 16
     lanes: int = 512
     group: int = 1 << 22
+    part: int = 1024
     rounds: int = 2
-    rate: float = 0.05
+    rate: float = 0.1
     seed: int = 7
 
 
@@ -306,7 +308,8 @@ class Lanes:
 def train(network: Network, texts: list[np.ndarray], sums: np.ndarray) -> int:
     """One pass of truncated backpropagation over some texts (numbers below the network's size); returns tokens."""
     params, h = network.params, network.params.hidden
-    lanes = Lanes.of(texts, params.lanes)
+    # Parts of long texts go side by side too; here alone, the state starts anew with each.
+    lanes = Lanes.of([t[k : k + params.part] for t in texts for k in range(0, len(t), params.part)], params.lanes)
     state = np.zeros((len(lanes.sizes), h), np.float32)
     for _, inputs, carry, targets, real in lanes.windows(params.window):
         states, steps = network.forward(inputs, carry, state[: inputs.shape[1]])
@@ -319,7 +322,7 @@ def train(network: Network, texts: list[np.ndarray], sums: np.ndarray) -> int:
         back = np.zeros_like(states)
         back[real] = slopes
         network.backward(inputs, carry, steps, back, grad)
-        flat /= real.sum()
+        flat /= params.window * len(lanes.sizes)  # so that the last windows, of few lanes, count for less
         flat[np.abs(flat) < 1e-12] = 0
         # Steps shrink as a weight's slopes add up (Adagrad).
         sums += flat * flat
@@ -425,7 +428,7 @@ def fit(texts: DataFrame, params: Params = Params()) -> tuple[DataFrame, Vocabul
     return counts, vocabulary, flat
 
 
-SCORED = "n_tokens long, n_known long, logs double, inner double, rest long, rest_logs double, rare array<struct<h:bigint,n:bigint>>"
+SCORED = "n_tokens long, n_known long, logs double, inner double, rest long, rest_logs double, rare array<bigint>, rare_n array<bigint>"
 
 
 def _scored(vocabulary: Vocabulary, params: Params, flat: np.ndarray):
@@ -435,9 +438,9 @@ def _scored(vocabulary: Vocabulary, params: Params, flat: np.ndarray):
         logs = vocabulary.logs[known]
         beyond = known >= vocabulary.size
         keys, n = np.unique(text[text >= symbols.first], return_counts=True)
-        rare = [{"h": symbols.rare[k] - (symbols.rare[k] >> 63 << 64), "n": m} for k, m in zip((keys - symbols.first).tolist(), n.tolist(), strict=True)]
+        rare = np.array([symbols.rare[k] for k in (keys - symbols.first).tolist()], np.uint64).view(np.int64)
         rest = int(beyond.sum()) + len(text) - len(known)
-        return len(text), len(known) - (vocabulary.ends == 0), float(logs.sum()), rest, float(logs[beyond].sum()), rare
+        return len(text), len(known) - (vocabulary.ends == 0), float(logs.sum()), rest, float(logs[beyond].sum()), rare, n
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         symbols = Symbols(vocabulary)
@@ -455,7 +458,7 @@ def _scored(vocabulary: Vocabulary, params: Params, flat: np.ndarray):
         for batch in batches:
             texts = symbols.of(list(batch))
             rows = [counted(symbols, t) for t in texts]
-            frames.append(pd.DataFrame(rows, columns=["n_tokens", "n_known", "logs", "rest", "rest_logs", "rare"]))
+            frames.append(pd.DataFrame(rows, columns=["n_tokens", "n_known", "logs", "rest", "rest_logs", "rare", "rare_n"]))
             held += [inside(t, vocabulary.size) for t in texts]
             if sum(map(len, held)) >= params.group:
                 yield from finished()
@@ -486,9 +489,9 @@ def score(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", para
     scored = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", _scored(vocabulary, params, flat)("text").alias("s"))
     scored = stage(scored.select("row", "doc_id", "held_out", "s.*"), "scored")  # written, so that numbers of rows hold
 
-    rare = scored.select("row", F.inline("rare")).join(counts.withColumnRenamed("n", "c"), "h", "left")
+    rare = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("h"), F.col("rare_n").alias("n")))).join(counts.withColumnRenamed("n", "c"), "h", "left")
     rare = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("rare_known"))
-    out = scored.drop("rare").join(rare, "row", "left").fillna(0, ["rare_logs", "rare_known"])
+    out = scored.drop("rare", "rare_n").join(rare, "row", "left").fillna(0, ["rare_logs", "rare_known"])
     all_, rest = (F.lit(math.log10(x)) for x in (vocabulary.tokens + vocabulary.types + 1, vocabulary.rest_tokens + vocabulary.rest_types + 1))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("rare_known")).alias("n_known"), F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
