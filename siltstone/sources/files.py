@@ -58,10 +58,10 @@ def _text_record(ingest: Ingest) -> bool:
     return _whole_record(ingest) and _source(ingest) == "csv"
 
 
-def _as_record(df: DataFrame) -> DataFrame:
-    """All columns as one variant object in ``data``."""
-    members = F.struct(*(F.col(f"`{name}`") for name in df.columns))
-    return df.select(F.to_variant_object(members).alias("data"), "_metadata")
+def _as_record(df: DataFrame, beside: str | None = None) -> DataFrame:
+    """All columns as one variant object in ``data``, but for the one that stays ``beside`` it."""
+    members = F.struct(*(F.col(f"`{name}`") for name in df.columns if name != beside))
+    return df.select(F.to_variant_object(members).alias("data"), *([beside] if beside else []), "_metadata")
 
 
 def _declared_schema(ingest: Ingest) -> str | None:
@@ -120,6 +120,41 @@ def read_stream(
     return _as_record(df) if _text_record(ingest) else df
 
 
+def parses(ingest: Ingest) -> bool:
+    """Whether records of this format can be broken, and come with the text that does not parse."""
+    return _source(ingest) in ("json", "csv")
+
+
+def read_checked_stream(
+    spark: SparkSession, ingest: Ingest, schema: T.StructType, broken: str, call_options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A file stream of known schema with the file's metadata, and in ``broken`` the text of records that do not parse."""
+    options = reader_options(ingest, call_options) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    if parses(ingest):
+        schema = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
+    stream = spark.readStream.format(_source(ingest)).options(**options).schema(schema)
+    df = stream.load(one_path(spark, list(ingest.inputs)))
+    if _text_record(ingest):
+        return _as_record(df, broken)
+    df = df.select("*", "_metadata")
+    return df if parses(ingest) else df.withColumn(broken, F.lit(None).cast("string"))
+
+
+def schema_of(
+    spark: SparkSession, ingest: Ingest, call_options: Mapping[str, str] | None = None
+) -> T.StructType:
+    """The declared schema, else the one of the files that ``call_options`` leave (see ``modifiedAfter``)."""
+    declared = _declared_schema(ingest)
+    if declared is None:
+        return _inferred(spark, ingest, list(ingest.inputs), call_options)
+    return T.StructType.fromDDL(declared) if isinstance(declared, str) else declared
+
+
+def declares(ingest: Ingest) -> bool:
+    """Whether the schema is known without a look at the files."""
+    return _declared_schema(ingest) is not None
+
+
 def one_path(spark: SparkSession, paths: list[str]) -> str:
     """One glob that covers several input paths of the same file system.
 
