@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Callable
+from html.entities import name2codepoint
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,29 +51,39 @@ def _sql_string(s: str) -> str:
 
 
 def _warc_sql() -> str:
-    text = f"regexp_replace(payload, {_sql_string(warc.HIDDEN)}, ' ', 'g')"
-    text = f"regexp_replace({text}, '[\\x09-\\x0D ]+', ' ', 'g')"
-    text = f"regexp_replace({text}, {_sql_string(warc.BLOCK)}, chr(10), 'g')"
-    text = f"regexp_replace({text}, {_sql_string(warc.TAG)}, '', 'g')"
-    for reference, char in warc.REFERENCES.items():
-        text = f"replace({text}, {_sql_string(reference)}, {_sql_string(char)})"
-    text = f"trim(regexp_replace(regexp_replace({text}, ' *\\n[ \\n]*', chr(10), 'g'), '^\\n+|\\n+$', '', 'g'))"
+    """Patterns of its own: any tag told by its name, links from whole tags, references piece by piece."""
+    hidden = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>"
+    blocks = "address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul"
+    block = rf"(?i)</?({blocks.replace(' ', '|')})\b[^>]*>"
+    names = ", ".join(f"{_sql_string(n)}: {_sql_string(html.unescape(f'&{n};'))}" for n in sorted({*name2codepoint, "apos"}))
+    code = "CASE WHEN r[2:2] IN ('x', 'X') THEN ('0x' || r[3:])::BIGINT ELSE r[2:]::BIGINT END"
+    char = f"CASE WHEN r[1:1] <> '#' THEN (MAP {{{names}}})[r] WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(({code})::INT) END"
     urn = "'<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>'"
-    return f"""
+    return rf"""
 WITH base AS (
     SELECT page_id, url, html AS payload, md5('response|' || page_id || '|' || url) AS h FROM pages
 ), response AS (
-    SELECT page_id, {urn} AS refers_to, url AS target_uri, payload FROM base
+    SELECT page_id, {urn} AS refers_to, url AS target_uri, payload, regexp_replace(payload, {_sql_string(hidden)}, ' ', 'g') AS seen FROM base
+), parts AS (
+    SELECT *, string_split(regexp_replace(regexp_replace(regexp_replace(seen, '[\x09-\x0D ]+', ' ', 'g'), {_sql_string(block)}, chr(10), 'g'),
+        '<[!/?a-zA-Z][^>]*>', '', 'g'), '&') AS p FROM response
+), pieces AS (
+    SELECT *, list_transform(p[2:], lambda x: regexp_extract(x, '^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[A-Za-z][A-Za-z0-9]{{1,15}});', 1)) AS refs FROM parts
+), texts AS (
+    SELECT *, p[1] || array_to_string(list_transform(list_zip(p[2:], list_transform(refs, lambda r: CASE WHEN r <> '' THEN {char} END), refs),
+        lambda t: coalesce(t[2] || t[1][len(t[3]) + 2:], '&' || t[1])), '') AS t FROM pieces
 ), kinds AS (
-    SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+    SELECT page_id, refers_to, target_uri, payload, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
         array_to_string(list_concat(
             ['http-header: HTTP/1.1 200 OK', 'http-header: Content-Type: text/html; charset=utf-8',
              'http-header: Content-Length: ' || octet_length(encode(payload))],
-            list_transform(regexp_extract_all(payload, {_sql_string(warc.LINK)}, 1), lambda u: 'outlink: ' || u)),
+            list_transform(list_filter(regexp_extract_all(seen, '<[aA]\s[^>]*>'), lambda x: regexp_matches(x, '(?i)\shref\s*=')),
+                lambda x: 'outlink: ' || trim(regexp_extract(x, '(?i)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), chr(34) || chr(39)))),
         chr(13) || chr(10)) AS block
-    FROM response
+    FROM texts
     UNION ALL
-    SELECT *, 'conversion', 'text/plain; charset=utf-8', {text} FROM response
+    SELECT page_id, refers_to, target_uri, payload, 'conversion', 'text/plain; charset=utf-8',
+        trim(regexp_replace(regexp_replace(t, ' *\n[ \n]*', chr(10), 'g'), '^\n+|\n+$', '', 'g')) FROM texts
 ), named AS (
     SELECT *, md5(record_type || '|' || refers_to) AS h FROM kinds
 )

@@ -85,6 +85,29 @@ def test_text_agrees_with_an_unescaper(spark):
     assert row.block == html.unescape(page)
 
 
+def test_links_and_references_of_ordinary_pages(spark):
+    page = (
+        "<p>caf&eacute; &#233;&#xE9; &mdash; &amp;lt; &nosuch; &#0; &#xD800; &#9999999; a & b &lt</p>"
+        "<!-- <a href='gone'>x</a> --><script>'<a href=\"gone\">'</script>"
+        "<a class=b href='/one'>1</a><A HREF=/two>2</A><a href = \"/thr'ee\" id=x>3</a><a data-href='no' name=z>4</a><a href='/one'>5</a>"
+    )
+    df = spark.createDataFrame([("i", "u", "d", "h", page)], RESPONSES)
+    rows = {r.record_type: r.block for r in warc.derive(df).collect()}
+    assert rows["metadata"].split("\r\n") == ["http-header: h", "outlink: /one", "outlink: /two", "outlink: /thr'ee", "outlink: /one"]
+    assert rows["conversion"] == "café éé — &lt; &nosuch; &#0; &#xD800; &#9999999; a & b &lt\n12345"
+
+
+def test_columns_that_clash(spark):
+    df = spark.createDataFrame([("i", "u", "d", "h", "<p>x</p>")], RESPONSES)
+    names = [*edge.CLASHES, "__type", "__block", "kind", "seen", "digest", "Record_ID", "PAYLOAD", "Refers_To", "c0", "a.b"]
+    out = warc.derive(df.selectExpr("*", *(f"'extra' AS `{n}`" for n in names)))
+    assert len({c.lower() for c in out.columns}) == len(out.columns)
+    plain = warc.derive(df)
+    rows = out.collect()
+    assert [tuple(r[c] for c in plain.columns) for r in rows] == [tuple(r) for r in plain.collect()]
+    assert all(r["__type"] == r["kind"] == r["a.b"] == "extra" for r in rows)
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows = edge.documents()
     path = str(tmp_path / "documents.parquet")
