@@ -140,6 +140,14 @@ class Symbols(dict):
 PARTS = ("enter", "bias", "keep", "pick", "pick_bias", "word", "word_bias")
 
 
+def _one_over_one_and_exp(x: np.ndarray) -> None:
+    """1 / (1 + exp(x)) in place; 0 where the exponential is beyond all numbers."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
 class Network:
     """Gates of a recurrent layer over an input table, and two softmax layers."""
 
@@ -168,31 +176,34 @@ class Network:
     def forward(self, inputs: np.ndarray, carry: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
         """States after each step of a window [steps, lanes], and what the way back needs."""
         h = self.params.hidden
-        entered = self.enter[inputs]
-        entered += self.bias
-        states = np.empty((*inputs.shape, h), np.float32)
+        # Lanes lie along the last axis, so that every operation runs over long rows.
+        entered = np.ascontiguousarray((self.enter[inputs] + self.bias).transpose(0, 2, 1))
+        states = np.empty((len(inputs), h, inputs.shape[1]), entered.dtype)
         steps = []
-        # sigma(x) = tanh(x / 2) / 2 + 1 / 2: halved beforehand, so that one tanh serves both gates.
-        entered[:, :, : 2 * h] *= 0.5
-        keep = self.keep.copy()
-        keep[:, : 2 * h] *= 0.5
+        # Gates are 1 / (1 + exp(-x)), and tanh(x) is 2 / (1 + exp(-2 x)) - 1, with the signs put in beforehand.
+        entered[:, : 2 * h] *= -1
+        entered[:, 2 * h :] *= -2
+        keep = self.keep.T.copy()
+        keep[: 2 * h] *= -1
+        state = np.ascontiguousarray(state.T)
         for t in range(len(inputs)):
-            before = state * carry[t, :, None]
-            kept = before @ keep
-            gates = kept[:, : 2 * h] + entered[t, :, : 2 * h]
-            np.tanh(gates, out=gates)
-            gates *= 0.5
-            gates += 0.5
-            z, r, inner = gates[:, :h], gates[:, h:], kept[:, 2 * h :]
+            before = state * carry[t]
+            kept = keep @ before
+            gates = kept[: 2 * h] + entered[t, : 2 * h]
+            _one_over_one_and_exp(gates)
+            z, r, inner = gates[:h], gates[h:], kept[2 * h :]
             new = r * inner
-            new += entered[t, :, 2 * h :]
-            np.tanh(new, out=new)
+            new *= -2
+            new += entered[t, 2 * h :]
+            _one_over_one_and_exp(new)
+            new *= 2
+            new -= 1
             state = states[t]
             np.subtract(before, new, out=state)
             state *= z
             state += new
             steps.append((before, z, r, new, inner))
-        return states, steps
+        return np.ascontiguousarray(states.transpose(0, 2, 1)), steps
 
     def log_softmax(
         self, states: np.ndarray, weights: np.ndarray, bias: np.ndarray, targets: np.ndarray, slopes: bool
@@ -239,27 +250,36 @@ class Network:
 
     def backward(self, inputs: np.ndarray, carry: np.ndarray, steps: list[tuple], back: np.ndarray, grad: Network) -> None:
         """Slopes of the recurrent part; ``back`` are those of the window's states."""
-        h = self.params.hidden
-        entered = np.empty((*inputs.shape, 3 * h), np.float32)
-        kept = np.empty_like(entered)
-        later = np.zeros_like(back[0])
-        for t in range(len(inputs) - 1, -1, -1):
+        h, (count, lanes) = self.params.hidden, inputs.shape
+        entered = np.empty((count, 3 * h, lanes), back.dtype)
+        kept = np.empty((3 * h, lanes), back.dtype)
+        slopes = np.ascontiguousarray(back.transpose(0, 2, 1))
+        later = np.zeros((h, lanes), back.dtype)
+        for t in range(count - 1, -1, -1):
             before, z, r, new, inner = steps[t]
-            d = back[t] + later
-            rise = d * (1 - z) * (1 - new * new)
-            entered[t, :, :h] = d * (before - new) * z * (1 - z)
-            entered[t, :, h : 2 * h] = rise * inner * r * (1 - r)
-            entered[t, :, 2 * h :] = rise
-            kept[t] = entered[t]
-            kept[t, :, 2 * h :] *= r
-            later = (d * z + kept[t] @ self.keep.T) * carry[t, :, None]
-        befores = np.stack([x[0] for x in steps]).reshape(-1, h)
-        grad.keep += befores.T @ kept.reshape(-1, 3 * h)
-        flat, at = entered.reshape(-1, 3 * h), inputs.ravel()
+            d = slopes[t]
+            d += later
+            rise = new * new
+            np.subtract(1, rise, out=rise)
+            rise *= 1 - z
+            rise *= d
+            at = entered[t]
+            np.multiply(d, before - new, out=at[:h])
+            at[:h] *= z * (1 - z)
+            np.multiply(rise, inner, out=at[h : 2 * h])
+            at[h : 2 * h] *= r * (1 - r)
+            at[2 * h :] = rise
+            kept[: 2 * h] = at[: 2 * h]
+            np.multiply(rise, r, out=kept[2 * h :])
+            later = self.keep @ kept
+            later += d * z
+            later *= carry[t]
+            grad.keep += before @ kept.T
+        flat, words = entered.transpose(0, 2, 1).reshape(-1, 3 * h), inputs.ravel()
         grad.bias += flat.sum(axis=0)
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
-        grad.enter[at[order][first]] += np.add.reduceat(flat[order], first, axis=0)
+        order = np.argsort(words, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
+        grad.enter[words[order][first]] += np.add.reduceat(flat[order], first, axis=0)
 
 
 @dataclass
@@ -275,7 +295,7 @@ class Lanes:
     def of(cls, texts: list[np.ndarray], lanes: int) -> Lanes:
         order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
         # Few tokens are better learned from in many small steps.
-        lanes = min(lanes, len(texts), 16 + math.isqrt(sum(map(len, texts))) // 4)
+        lanes = min(lanes, len(texts), 16 + math.isqrt(sum(map(len, texts))) // 2)
         sizes = np.zeros(lanes, np.int64)
         place = np.zeros((len(texts), 2), np.int64)
         for k in order:
@@ -318,9 +338,10 @@ def train(network: Network, texts: list[np.ndarray], sums: np.ndarray) -> int:
         flat = np.zeros_like(network.flat)
         for name, a, b in zip(PARTS, network.bounds, network.bounds[1:], strict=False):
             setattr(grad, name, flat[a:b].reshape(getattr(network, name).shape))
-        _, slopes = network.output(states[real], targets[real], grad)
+        whole = slice(None) if real.all() else real.ravel()
+        _, slopes = network.output(states.reshape(-1, h)[whole], targets.ravel()[whole], grad)
         back = np.zeros_like(states)
-        back[real] = slopes
+        back.reshape(-1, h)[whole] = slopes
         network.backward(inputs, carry, steps, back, grad)
         flat /= params.window * len(lanes.sizes)  # so that the last windows, of few lanes, count for less
         flat[np.abs(flat) < 1e-12] = 0
