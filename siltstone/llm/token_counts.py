@@ -12,6 +12,7 @@ symbol can then only have a higher rank.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ from tokenizers import Tokenizer
 
 LIMIT = 2048
 CACHE_WORDS = 250_000
+LONG = 1024  # bytes from which on a word's places are indexed by rank
 # All versions of Unicode class and lower-case these characters alike, and none is part of a composition.
 SURE = re.compile("[^\t\n\r -~¡-įĲ-ɏ‐-‧€]")
 
@@ -53,6 +55,7 @@ class Counter:
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in merges])
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], order, np.array(made)[order]
+        self.made_by_rank = np.array(made)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         char = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -96,6 +99,57 @@ class Counter:
             symbols, word = symbols[stays], word[stays]
         return left
 
+    def merged_long(self, word: bytes) -> int:
+        """Number of symbols left of one long word; each round touches the merged places and their neighbours."""
+        n, none = len(word), len(self.keys)
+        symbols = np.append(self.inner[np.frombuffer(word, np.uint8)], 0)  # one more, for the word's end
+        symbols[n - 1] = self.last[word[-1]]
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        rank = np.full(n + 1, none)
+        waiting: dict[int, list[np.ndarray]] = {}
+        lowest: list[int] = []
+
+        def look(places: np.ndarray) -> None:
+            """Rank the pairs that begin at some places, and note the places by rank."""
+            pair = symbols[places] * self.size + symbols[after[places]]
+            at = np.minimum(np.searchsorted(self.keys, pair), none - 1)
+            found = np.where((self.keys[at] == pair) & (after[places] < n), self.ranks[at], none)
+            rank[places] = found
+            order = np.argsort(found, kind="stable")
+            order = order[: np.searchsorted(found[order], none)]
+            if not len(order):
+                return
+            ranks, places = found[order], places[order]
+            cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]])
+            for r, a, b in zip(ranks[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(ranks)], strict=True):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(lowest, r)
+                waiting[r].append(places[a:b])
+
+        look(np.arange(n))
+        left = n
+        while lowest:
+            r = heapq.heappop(lowest)
+            noted = waiting.pop(r)
+            places = np.unique(np.concatenate(noted)) if len(noted) > 1 else noted[0]
+            places = places[rank[places] == r]  # others were merged or have another neighbour since
+            if not len(places):
+                continue
+            # A run of one symbol merges from the left, as above.
+            k = np.arange(len(places))
+            follows = np.r_[False, places[1:] == after[places[:-1]]]
+            places = places[(k - np.maximum.accumulate(np.where(follows, 0, k))) % 2 == 0]
+            gone = after[places]
+            symbols[places] = self.made_by_rank[r]
+            rank[gone] = none
+            after[places] = after[gone]
+            before[after[places]] = places
+            left -= len(places)
+            above = before[places]
+            look(np.unique(np.concatenate([places, above[above >= 0]])))
+        return left
+
     def _split(self, text: str) -> list[str] | list[bytes]:
         """The words of a part without special strings; those found by the library as bytes."""
         if SURE.search(text):
@@ -118,6 +172,9 @@ class Counter:
         raw = [w if isinstance(w, bytes) else w.encode() for w in new]
         # Long words take many rounds: they are merged among their like.
         order = sorted(range(len(new)), key=lambda k: len(raw[k]))
+        while order and len(raw[order[-1]]) >= LONG:
+            k = order.pop()
+            self.counts[new[k]] = self.merged_long(raw[k])
         for start in range(0, len(order), 4096):
             some = order[start : start + 4096]
             for k, n in zip(some, self.merged([raw[k] for k in some]).tolist(), strict=True):

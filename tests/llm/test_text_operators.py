@@ -4,6 +4,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import edge
@@ -275,3 +276,15 @@ def test_schedule_is_even_at_every_length(spark):
 def test_mix_is_data_frame_code_only(spark):
     plan = mixing.mix(edge.frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_long_unsplit_texts_are_counted_in_little_time(library):
+    """Words of up to 200,000 letters, in far less time than a round over all of them per rank would take."""
+    counter, rng = token_counts.Counter(token_counts.default_path()), random.Random(3)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "ab", "a", "éüa"]
+    texts = ["".join(rng.choices(some, k=n)) for some in letters for n in (1023, 1024, 1025, 6000)]
+    texts += ["".join(rng.choices(letters[0], k=200_000)), "a" * 100_001, "日本" * 3000, "ab" * 9999 + " short " + "c" * 2000]
+    began = time.monotonic()
+    found = counter.count(texts)
+    assert time.monotonic() - began < 20
+    assert found == [len(library["word_bpe_49k.json"].encode(t, add_special_tokens=False).ids) for t in texts]
