@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators.fields import quoted
 from siltstone.plans.spec import Lookup, SpecError
@@ -26,6 +27,10 @@ EXPANSION = 5
 SALT_ABOVE_CONF = "siltstone.lookup.saltAboveBytes"
 SALT_ABOVE = 10 * 1024 * 1024
 
+# A key is hot if its rows alone come to so many mean tasks of the join.
+HOT_TASKS = 2
+MOST_TRACKED = 1_000_000  # keys a sketch can hold
+
 _SALT = "__salt"
 
 
@@ -76,9 +81,13 @@ def apply_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
     outputs = [*df.columns, *renamed.values()]
     left_keys = [left for left, _ in lookup.on]
 
-    salt = lookup.salt if not small and planned_size(side) > _setting(df, SALT_ABOVE_CONF, SALT_ABOVE) else 0
+    large = not small and planned_size(side) > _setting(df, SALT_ABOVE_CONF, SALT_ABOVE)
+    salt, hot = lookup.salt if large else 0, None
+    if large and lookup.hot_keys and not df.isStreaming:
+        hot, salt = hot_keys(df, left_keys)
+        hot = hot if _hash_alike(df, left_keys, side, keys) else None
     if lookup.how in ("left", "inner"):
-        joined = _equi_join(df, side, left_keys, keys, lookup.how, small, salt)
+        joined = _equi_join(df, side, left_keys, keys, lookup.how, small, salt, hot)
         return joined.select(*(quoted(name) for name in outputs))
     if df.isStreaming:
         raise SpecError(
@@ -92,7 +101,7 @@ def apply_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
     # the main side.  So unmatched lookup rows are added separately; the main side is read
     # again for that, its key columns only, reduced to the distinct keys.
     kept = "left" if lookup.how == "full" else "inner"
-    joined = _equi_join(df, side, left_keys, keys, kept, small, salt).select(*(quoted(name) for name in outputs))
+    joined = _equi_join(df, side, left_keys, keys, kept, small, salt, hot).select(*(quoted(name) for name in outputs))
     return joined.unionByName(_unmatched(df, side, left_keys, keys, small).select(
         *(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields),
         *(quoted(name) for name in renamed.values()),
@@ -106,21 +115,51 @@ def _equal(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys:
     )
 
 
+def hot_keys(df: DataFrame, keys: list[str]) -> tuple[list[int], int]:
+    """Hashes of the keys too frequent for one task each, and the salts that the most frequent needs.
+
+    A mergeable sketch of frequent items reads the key columns once, in a Spark job while
+    the plan is built; at most half as many keys as there are tasks can be hot, and only
+    those reach the driver.  Its counts are estimates, on which only the tasks' sizes
+    depend, never the result.
+    """
+    tasks = _setting(df, "spark.sql.shuffle.partitions", 200)
+    most = max(tasks // HOT_TASKS, 1)
+    tracked = min(max(16 * tasks, 10_000), MOST_TRACKED)
+    hashed = df.select(F.xxhash64(*map(quoted, keys)).alias("k"))
+    rows, top = hashed.agg(F.count("*"), F.expr(f"approx_top_k(k, {min(most, tracked)}, {tracked})")).first()
+    hot = {r["item"]: r["count"] for r in top or () if r["count"] * tasks > HOT_TASKS * rows}
+    salt = min(tasks, -(-max(hot.values()) * tasks // rows)) if hot else 0
+    return sorted(hot), salt
+
+
 def _equi_join(
-    df: DataFrame, side: DataFrame, left_keys: list[str], keys: list[str], how: str, small: bool, salt: int
+    df: DataFrame, side: DataFrame, left_keys: list[str], keys: list[str], how: str, small: bool, salt: int, hot: list[int] | None = None
 ) -> DataFrame:
+    """Join on the keys; with ``salt``, hot keys (all, if ``hot`` does not name them by hash) go to so many tasks."""
     if small:
         return df.join(F.broadcast(side), _equal(df, left_keys, side, keys), how)
     if salt > 1:
-        # Every lookup row is repeated once per salt, so rows of one hot main key
+        # A lookup row is repeated once per salt, so rows of one hot main key
         # spread over `salt` tasks.  The salt does not change the result.
-        salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-        side = side.withColumn(_SALT, salts).hint("merge")
-        df = df.withColumn(_SALT, _row_salt(df, left_keys, salt))
+        salts, row_salt = F.sequence(F.lit(0), F.lit(salt - 1)), _row_salt(df, left_keys, salt)
+        if hot is not None:
+            # Rows of other keys all have salt 0, and their lookup rows are not repeated.
+            salts = F.when(F.xxhash64(*map(quoted, keys)).isin(hot), salts).otherwise(F.array(F.lit(0)))
+            row_salt = F.when(F.xxhash64(*map(quoted, left_keys)).isin(hot), row_salt).otherwise(0)
+        side = side.withColumn(_SALT, F.explode(salts)).hint("merge")
+        df = df.withColumn(_SALT, row_salt)
         left_keys, keys = [*left_keys, _SALT], [*keys, _SALT]
     return df.join(side, _equal(df, left_keys, side, keys), how)
 
 
+def _hash_alike(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str]) -> bool:
+    """Whether keys that are equal have equal hashes: not if a join casts one, nor for -0.0 and 0.0."""
+    plain = (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    kinds = [(left.schema[a].dataType, right.schema[b].dataType) for a, b in zip(left_keys, right_keys)]
+    return all(a == b and (isinstance(a, plain) or a == T.StringType()) for a, b in kinds)
+
+
 def _row_salt(df: DataFrame, keys: list[str], salt: int) -> Column:
     """From the values of a row that are not keys, so a repeated task deals it alike."""
     unhashed = ("map", "variant")

@@ -85,7 +85,9 @@ class Lookup:
 
     ``unique`` checks that its keys do not repeat, with a Spark job over the side while
     the plan is built.  ``salt`` deals the rows of a hot main key over so many tasks, if
-    the side is too large to be broadcast.
+    the side is too large to be broadcast.  ``hot_keys`` finds out which main keys are
+    hot, with a job over the main side's key columns, and salts those alone; on a stream,
+    whose keys are not known beforehand, it changes nothing.
     """
 
     source: LookupSource
@@ -97,6 +99,7 @@ class Lookup:
     broadcast: bool = False
     unique: bool = False
     salt: int = 0
+    hot_keys: bool = False
 
     def __post_init__(self) -> None:
         if not self.on:
@@ -131,6 +134,7 @@ class Lookup:
             broadcast=bool(conf.get("broadcast", False)),
             unique=bool(conf.get("unique", False)),
             salt=int(conf.get("salt", 0)),
+            hot_keys=bool(conf.get("hotKeys", False)),
         )
 
 

@@ -8,7 +8,7 @@ from siltstone.functions import normalize as n
 from siltstone.operators.fields import captured_names, output_columns
 from siltstone.operators.ingest import to_bronze
 from siltstone.operators.layers import explode_elements, to_gold, to_silver
-from siltstone.operators.lookups import BROADCAST_LIMIT_CONF, SALT_ABOVE_CONF, apply_lookups, planned_size
+from siltstone.operators.lookups import BROADCAST_LIMIT_CONF, SALT_ABOVE_CONF, apply_lookups, hot_keys, planned_size
 from siltstone.plans import naming
 from siltstone.plans.chain import run_batch
 from siltstone.plans.ocsf import CLASSES, class_schema, conform, mapping_problems
@@ -206,7 +206,7 @@ def _lookup(frame, **more):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "right", "full"])
-@pytest.mark.parametrize("form", [{}, {"broadcast": True}, {"salt": 3}])
+@pytest.mark.parametrize("form", [{}, {"broadcast": True}, {"salt": 3}, {"hot_keys": True}])
 def test_all_join_types_match_a_plain_join(spark, how, form, salted):
     main = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None), (4, "z")], "i int, k string")
     side = spark.createDataFrame([("a", 10), ("b", 20), ("b", 21), (None, 30), ("q", 40)], "k string, v int")
@@ -231,6 +231,60 @@ def test_broadcast_is_asked_for_only_below_the_limit(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
 
 
+@pytest.fixture
+def shuffled(spark):
+    """Joins shuffle, and tasks stay as planned."""
+    held = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for name, value in held.items():
+        spark.conf.set(name, value)
+
+
+def _skewed(spark, kind="bigint"):
+    """A third of the rows share one key, nobody says which."""
+    return spark.range(30000).selectExpr(f"cast(CASE WHEN id % 3 = 0 THEN 77 ELSE id END AS {kind}) as k", "id")
+
+
+LONGS = ("bigint", "bigint")
+
+
+@pytest.mark.parametrize(
+    "how, kinds",
+    [("left", LONGS), ("inner", LONGS), ("right", LONGS), ("full", LONGS), ("left", ("int", "bigint")), ("left", ("string", "string")),
+     ("left", ("double", "double")), ("full", ("string", "bigint"))],
+)
+def test_unknown_hot_keys_are_found_and_salted_alone(spark, how, kinds, salted, shuffled):
+    main, side = _skewed(spark, kinds[0]), spark.range(40000).selectExpr(f"cast(id AS {kinds[1]}) as k", "id * 2 as v")
+    joined = apply_lookups(main, [_lookup(side, how=how, hot_keys=True)])
+    expected = main.join(side.toDF("l_k", "l_v"), F.col("k") == F.col("l_k"), how)
+    assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+    if how in ("left", "inner"):
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30000 and max(sizes) < 10000  # no task gets the hot key's 10,000
+        plain = [r[1] for r in expected.groupBy(F.spark_partition_id()).count().collect()] if kinds[0] == kinds[1] else [10000]
+        assert max(plain) >= 10000
+
+
+def test_hot_keys_are_named_by_hash_and_only_if_hot(spark):
+    hot, salt = hot_keys(_skewed(spark), ["k"])
+    (key,) = hot
+    assert spark.range(77, 78).select(F.xxhash64("id")).first()[0] == key and salt == 3  # a third of 8 tasks' rows
+    nulls = spark.range(1000).selectExpr("cast(if(id % 2 = 0, null, id) as int) as k", "'x' as j")
+    assert len(hot_keys(nulls, ["k", "j"])[0]) == 1
+    assert hot_keys(spark.range(1000).selectExpr("id as k"), ["k"]) == ([], 0)
+    assert hot_keys(spark.range(0).selectExpr("id as k"), ["k"]) == ([], 0)
+
+
+def test_hot_keys_copy_the_hot_lookup_rows_only(spark, salted, shuffled):
+    main, side = _skewed(spark), spark.range(40000).selectExpr("id as k", "id as v")
+    text = plan(apply_lookups(main, [_lookup(side, how="left", hot_keys=True)]))
+    assert "CASE WHEN" in text and "explode" in text.lower() and text.count("SortMergeJoin") == 1
+    even = plan(apply_lookups(spark.range(9000).selectExpr("id as k"), [_lookup(side, how="left", hot_keys=True)]))
+    assert "explode" not in even.lower()  # nothing is hot: a plain join
+
+
 def test_small_lookups_are_not_salted(spark):
     main, side = spark.range(100).selectExpr("id as k"), spark.range(10).selectExpr("id as k", "id as v")
     assert "explode" not in plan(apply_lookups(main, [_lookup(side, salt=8)])).lower()
