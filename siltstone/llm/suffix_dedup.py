@@ -433,16 +433,6 @@ def _digests():
     return F.pandas_udf(run, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, text string")
 
 
-def _longest():
-    """Bytes of the longest maximal run of a list of spans."""
-
-    def run(spans: pd.Series) -> pd.Series:
-        edges = (merged(np.array([s["begin"] for s in x]), np.array([s["end"] for s in x])) for x in spans)
-        return pd.Series([int((end - begin).max()) for begin, end in edges], dtype="int64")
-
-    return F.pandas_udf(run, "long")
-
-
 def _remaining():
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, spans in parts:
@@ -454,10 +444,62 @@ def _remaining():
     return F.pandas_udf(run, "string")
 
 
+SEGMENT = "x long, y long, at long, c1 long, c2 long, piece binary"
+
+
+def _segments(length: int):
+    """Runs of at least ``length`` bytes that the spans of a text make: start, digest ``c1, c2``, bytes."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in SEGMENT.split(", ")]
+        for frame in frames:
+            out: list[tuple] = []
+            for x, y, text, spans in zip(frame["x"], frame["y"], frame["text"], frame["passages"], strict=True):
+                begin, end = merged(np.array([s["begin"] for s in spans]), np.array([s["end"] for s in spans]))
+                for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+                    if b - a >= length:
+                        piece = bytes(text[a:b])
+                        out.append((x, y, a, *(int.from_bytes(d, "big", signed=True) for d in _halves(piece)), piece))
+                if len(out) >= 5000:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return run
+
+
+def _within(keyed: DataFrame, passages: DataFrame, params: Params) -> DataFrame:
+    """Spans ``x, y, begin, end`` of windows that occur again, looked for in ``passages`` only.
+
+    ``passages`` lists per key the spans of repeated strings that are shorter than ``length``;
+    a window that occurs again lies in one run of these.  A run that occurs twice repeats
+    altogether; of the distinct runs one copy each is searched.
+    """
+    reach = F.array_max(F.col("passages.end")) - F.array_min(F.col("passages.begin"))
+    texts = keyed.select("x", "y", F.col("text").cast("binary").alias("text")).join(passages.where(reach >= params.length), ["x", "y"])
+    runs = stage(texts.mapInPandas(_segments(params.length), SEGMENT), "runs")
+    alike = runs.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("x", "y", "at")).alias("one"))
+    alike = stage(alike, "run-copies")
+    many = alike.where("copies > 1").select("c1", "c2")
+    whole = attach(runs.select("x", "y", "at", "c1", "c2", F.octet_length("piece").alias("n")), stage(many, "repeated-runs"), ["c1", "c2"])
+    spans = whole.select("x", "y", F.col("at").alias("begin"), (F.col("at") + F.col("n")).alias("end"))
+    ones = alike.select("c1", "c2", "one.*").join(runs, ["c1", "c2", "x", "y", "at"]).dropDuplicates(["c1", "c2"])
+    found = repeated_spans(stage(ones.select(F.col("c1").alias("x"), F.col("c2").alias("y"), F.col("piece").alias("text")), "distinct-runs"), params)
+    single = alike.where("copies = 1").select(F.col("c1"), F.col("c2"), "one.*")
+    found = found.withColumnsRenamed({"x": "c1", "y": "c2"}).join(single, ["c1", "c2"])
+    return spans.unionByName(found.select("x", "y", (F.col("begin") + F.col("at")).alias("begin"), (F.col("end") + F.col("at")).alias("end")))
+
+
 def removals(keyed: DataFrame, x: str, y: str, text: str, params: Params) -> DataFrame:
     """Per key ``x, y`` of a text with repeats, the list ``spans`` of what to remove."""
     plain = keyed.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(text).cast("binary").alias("text"))
-    return repeated_spans(plain, params).groupBy("x", "y").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    return listed(repeated_spans(plain, params))
+
+
+def listed(spans: DataFrame) -> DataFrame:
+    """Per key ``x, y`` the list of its spans."""
+    return spans.groupBy("x", "y").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def dedup(
@@ -472,7 +514,7 @@ def dedup(
     they cover, and ``text``, what is left as text (see ``without_repeats``).
 
     A string of ``length`` bytes that repeats lies within one run of repeated strings of
-    ``passage`` bytes, so only documents with a run that long are searched for it.
+    ``passage`` bytes, so only these runs, one copy of each, are searched for it.
 
     Defined cases: a null text counts as empty, and its ``text`` is null; texts shorter than
     ``passage`` stay whole; a null doc_id is kept as such; repeated rows are copies of each
@@ -484,9 +526,8 @@ def dedup(
     docs = as_documents(documents, doc_id, text)
     keyed = docs.withColumns(dict(zip("xy", text_key("doc_id", "text"), strict=True)))
     short = stage(removals(keyed, "x", "y", "text", replace(params, length=passage)).withColumnRenamed("spans", "passages"), "passages")
-    holders = short.where(_longest()("passages") >= params.length).select("x", "y")
-    held = stage(keyed.join(stage(holders, "holders"), ["x", "y"], "left_semi"), "held-texts")
-    out = keyed.join(short, ["x", "y"], "left").join(removals(held, "x", "y", "text", params), ["x", "y"], "left")
+    long = listed(_within(keyed, short, params))
+    out = keyed.join(short, ["x", "y"], "left").join(long, ["x", "y"], "left")
     return out.select("doc_id", _digests()(F.col("text").cast("binary"), F.col("spans"), F.col("passages")).alias("d")).select("doc_id", "d.*")
 
 
