@@ -320,17 +320,19 @@ def _parts(length: int, width: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out: list[tuple] = []
-            names = ("number", "h", "at", "low", "high", "piece")
-            for number, h, at, low, high, piece in zip(*(frame[n] for n in names), strict=True):
+            names = ("number", "h", "at", "open", "piece")
+            for number, h, at, ranges, piece in zip(*(frame[n] for n in names), strict=True):
                 piece, h = bytes(piece), int(h).to_bytes(8, "big", signed=True)
-                # Window starts in the piece from ``low`` up to ``high`` lie at or before the anchor.
-                for k in range((at - high + 1) // width, (at - low) // width + 1):
-                    first, last = at - (k + 1) * width + 1, at - k * width
-                    a, b = max(first, low), min(last, high - 1)
-                    core = piece[last : max(first + length, last)]
-                    c1, c2 = (int.from_bytes(x, "big", signed=True) for x in _halves(h + k.to_bytes(4, "big") + core))
-                    w1, w2 = (int.from_bytes(x, "big", signed=True) for x in _halves((a - at).to_bytes(4, "big", signed=True) + piece[a : b + length]))
-                    out.append((number, a, b + 1, c1, c2, w1, w2))
+                for low, high in ((r["low"], r["high"]) for r in ranges):
+                    # Window starts in the piece from ``low`` up to ``high`` lie at or before the anchor.
+                    for k in range((at - high + 1) // width, (at - low) // width + 1):
+                        first, last = at - (k + 1) * width + 1, at - k * width
+                        a, b = max(first, low), min(last, high - 1)
+                        core = piece[last : max(first + length, last)]
+                        c1, c2 = (int.from_bytes(x, "big", signed=True) for x in _halves(h + k.to_bytes(4, "big") + core))
+                        covered = (a - at).to_bytes(4, "big", signed=True) + piece[a : b + length]
+                        w1, w2 = (int.from_bytes(x, "big", signed=True) for x in _halves(covered))
+                        out.append((number, a, b + 1, c1, c2, w1, w2))
                 if len(out) >= 20_000:
                     yield pd.DataFrame(out, columns=["number", "low", "high", "c1", "c2", "w1", "w2"])
                     out = []
@@ -345,6 +347,16 @@ def _halves(data: bytes) -> tuple[bytes, bytes]:
     return d[:8], d[8:]
 
 
+def _union():
+    """Maximal runs of a list of spans."""
+
+    def run(spans: pd.Series) -> pd.Series:
+        runs = (merged(np.array([s["begin"] for s in x]), np.array([s["end"] for s in x])) for x in spans)
+        return pd.Series([[{"begin": int(a), "end": int(b)} for a, b in zip(*r, strict=True)] for r in runs], dtype=object)
+
+    return F.pandas_udf(run, "array<struct<begin: long, end: long>>")
+
+
 def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFrame:
     """Spans ``x, y, begin, end`` of the repeated windows of contexts that occur once, by digests.
 
@@ -353,23 +365,28 @@ def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFr
     parted again, down to single windows.  Rows meet in sums only, wherever they are.
     """
     pieces = stage(pieces.withColumn("number", F.monotonically_increasing_id()), "hot-pieces")
-    open_ = pieces.withColumn("low", F.lit(0).cast("long")).withColumn("high", (F.octet_length("piece") - length + 1).cast("long"))
+    every = F.struct(F.lit(0).cast("long").alias("low"), (F.octet_length("piece") - length + 1).cast("long").alias("high"))
+    open_ = pieces.withColumn("open", F.array(every))
     spans = None
     for width in widths:
-        parts = open_.repartition("number", "low").mapInPandas(
+        parts = open_.repartition("number").mapInPandas(
             _parts(length, width), "number long, low long, high long, c1 long, c2 long, w1 long, w2 long"
         )
         parts = stage(parts, "parts")
         whole = F.struct("w1", "w2")
         cores = parts.groupBy("c1", "c2").agg(F.count("*").alias("n"), (F.min(whole) == F.max(whole)).alias("same"))
         cores = stage(cores.where("n > 1").select("c1", "c2", "same"), "cores")
-        met = parts.join(cores, ["c1", "c2"]).select("number", "low", "high", "same")
-        met = stage(met, "met-parts")
-        found = met.where("same").join(pieces.where("copies = 1").select("number", "x", "y", "begin"), "number").select(
-            "x", "y", (F.col("begin") + F.col("low")).alias("begin"), (F.col("begin") + F.col("high") - 1 + length).alias("end")
+        met = stage(parts.join(cores, ["c1", "c2"]).select("number", "low", "high", "same"), "met-parts")
+        # Ranges go back to their piece in one row, at most one range a window; the piece is not copied per range.
+        ranges = met.groupBy("number", "same").agg(F.collect_list(F.struct("low", "high")).alias("open"))
+        covers = F.transform("open", lambda r: F.struct(r["low"].alias("begin"), (r["high"] - 1 + length).alias("end")))
+        found = ranges.where("same").select("number", _union()(covers).alias("spans"))
+        found = found.join(pieces.where("copies = 1").select("number", "x", "y", "begin"), "number")
+        found = found.select("x", "y", "begin", F.explode("spans").alias("s")).select(
+            "x", "y", (F.col("begin") + F.col("s.begin")).alias("begin"), (F.col("begin") + F.col("s.end")).alias("end")
         )
         spans = found if spans is None else spans.unionByName(found)
-        open_ = met.where("NOT same").drop("same").join(pieces, "number")
+        open_ = ranges.where("NOT same").drop("same").join(pieces, "number")
     return spans
 
 
