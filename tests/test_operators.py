@@ -296,6 +296,19 @@ def test_large_outer_lookups_read_the_main_side_once(spark, small):
     assert plan(apply_lookups(main, [_lookup(side, how="full")])).count("FileScan") == 2
 
 
+@pytest.mark.parametrize("how", ["right", "full"])
+@pytest.mark.parametrize("form", [{"salt": 4}, {"hot_keys": True}])
+def test_small_outer_lookups_spread_keys_that_repeat_on_both_sides(spark, how, form):
+    """Two keys make nearly all rows; no task makes more than a few times its share."""
+    main = spark.range(2000).selectExpr("IF(id % 10 = 0, NULL, id % 2) as k", "id")
+    side = spark.range(60).selectExpr("IF(id % 5 = 0, NULL, id % 3) as k", "id as v")
+    joined = apply_lookups(main, [_lookup(side, how=how, **form)])
+    expected = main.join(side.toDF("l_k", "l_v"), F.col("k") == F.col("l_k"), how)
+    assert rows(joined) == rows(expected)
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < sum(sizes) / 4
+
+
 def test_a_hot_key_is_spread_over_salts(spark, salted):
     """A third of the rows share one key; with salts no task gets them all."""
     main = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END as k", "id")
