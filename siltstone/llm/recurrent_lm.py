@@ -15,6 +15,7 @@ The softmax is factored: the class of the next symbol first, then the symbol wit
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -140,10 +141,14 @@ class Symbols(dict):
 PARTS = ("enter", "bias", "keep", "pick", "pick_bias", "word", "word_bias")
 
 
+def _order(numbers: np.ndarray, size: int) -> np.ndarray:
+    """Stable order of numbers below ``size``; those of 16 bits are sorted by their digits."""
+    return np.argsort(numbers.astype(np.uint16) if size <= 1 << 16 else numbers, kind="stable")
+
+
 def _one_over_one_and_exp(x: np.ndarray) -> None:
-    """1 / (1 + exp(x)) in place; 0 where the exponential is beyond all numbers."""
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
+    """1 / (1 + exp(x)) in place; 0 where the exponential is beyond all numbers, for callers that ignore that."""
+    np.exp(x, out=x)
     x += 1
     np.reciprocal(x, out=x)
 
@@ -173,16 +178,18 @@ class Network:
         self.word_bias[:] = np.where(self.unused, -1e4, np.log(np.maximum(padded / padded.sum(axis=1, keepdims=True), 1e-30)).ravel())
         return self
 
-    def forward(self, inputs: np.ndarray, carry: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-        """States after each step of a window [steps, lanes], and what the way back needs."""
+    @np.errstate(over="ignore")
+    def forward(self, inputs: np.ndarray, carry: np.ndarray, state: np.ndarray, back: bool = True) -> tuple[np.ndarray, list[tuple]]:
+        """States after each step of a window [steps, lanes], and with ``back`` what the way back needs."""
         h = self.params.hidden
+        # Gates are 1 / (1 + exp(-x)), and tanh(x) is 2 / (1 + exp(-2 x)) - 1, with the signs put in beforehand.
+        table = self.enter + self.bias
+        table[:, : 2 * h] *= -1
+        table[:, 2 * h :] *= -2
         # Lanes lie along the last axis, so that every operation runs over long rows.
-        entered = np.ascontiguousarray((self.enter[inputs] + self.bias).transpose(0, 2, 1))
+        entered = np.ascontiguousarray(table[inputs].transpose(0, 2, 1))
         states = np.empty((len(inputs), h, inputs.shape[1]), entered.dtype)
         steps = []
-        # Gates are 1 / (1 + exp(-x)), and tanh(x) is 2 / (1 + exp(-2 x)) - 1, with the signs put in beforehand.
-        entered[:, : 2 * h] *= -1
-        entered[:, 2 * h :] *= -2
         keep = self.keep.T.copy()
         keep[: 2 * h] *= -1
         state = np.ascontiguousarray(state.T)
@@ -202,17 +209,20 @@ class Network:
             np.subtract(before, new, out=state)
             state *= z
             state += new
-            steps.append((before, z, r, new, inner))
+            if back:
+                steps.append((before, z, r, new, inner))
         return np.ascontiguousarray(states.transpose(0, 2, 1)), steps
 
     def log_softmax(
-        self, states: np.ndarray, weights: np.ndarray, bias: np.ndarray, targets: np.ndarray, slopes: bool
+        self, states: np.ndarray, weights: np.ndarray, bias: np.ndarray, targets: np.ndarray, slopes: bool, most: float
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Natural logarithms of the targets' shares; with ``slopes``, all shares less 1 at the targets."""
+        """Natural logarithms of the targets' shares; with ``slopes``, all shares less 1 at the targets.
+
+        ``most`` is a bound of the scores: states lie within -1 and 1.
+        """
         scores = states @ weights.T
         scores += bias
-        # States lie within -1 and 1, which bounds the scores; only large ones need to be shifted.
-        if (np.abs(weights).sum(axis=1) + bias).max() > 60:
+        if most > 60:  # only large ones need to be shifted
             scores -= scores.max(axis=1, keepdims=True)
         at = np.arange(len(targets)) * scores.shape[1] + targets
         chosen = scores.ravel()[at]
@@ -227,20 +237,22 @@ class Network:
         """Log probability of each target after its state; with ``grad``, the loss's slopes too."""
         s = self.params.class_size
         kind, place = targets // s, targets % s
-        logs, shares = self.log_softmax(states, self.pick, self.pick_bias, kind, grad is not None)
+        bounds = [np.abs(w).sum(axis=1) + b for w, b in ((self.pick, self.pick_bias), (self.word, self.word_bias))]
+        most = bounds[1].reshape(self.classes, s).max(axis=1).tolist()
+        logs, shares = self.log_softmax(states, self.pick, self.pick_bias, kind, grad is not None, bounds[0].max())
         back = None
         if grad is not None:
             grad.pick += shares.T @ states
             grad.pick_bias += shares.sum(axis=0)
             back = shares @ self.pick
-        order = np.argsort(kind, kind="stable")
+        order = _order(kind, self.classes)
         cuts = np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
         for c in range(self.classes):
             some = order[cuts[c] : cuts[c + 1]]
             if not len(some):
                 continue
             own, at = states[some], slice(c * s, (c + 1) * s)
-            found, shares = self.log_softmax(own, self.word[at], self.word_bias[at], place[some], grad is not None)
+            found, shares = self.log_softmax(own, self.word[at], self.word_bias[at], place[some], grad is not None, most[c])
             logs[some] += found
             if grad is not None:
                 grad.word[at] += shares.T @ own
@@ -277,7 +289,7 @@ class Network:
             grad.keep += before @ kept.T
         flat, words = entered.transpose(0, 2, 1).reshape(-1, 3 * h), inputs.ravel()
         grad.bias += flat.sum(axis=0)
-        order = np.argsort(words, kind="stable")
+        order = _order(words, len(self.enter))
         first = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
         grad.enter[words[order][first]] += np.add.reduceat(flat[order], first, axis=0)
 
@@ -298,10 +310,12 @@ class Lanes:
         lanes = min(lanes, len(texts), 16 + math.isqrt(sum(map(len, texts))) // 2)
         sizes = np.zeros(lanes, np.int64)
         place = np.zeros((len(texts), 2), np.int64)
+        shortest = [(0, lane) for lane in range(lanes)]
         for k in order:
-            lane = int(sizes.argmin())
-            place[k] = lane, sizes[lane]
-            sizes[lane] += len(texts[k])
+            size, lane = shortest[0]
+            place[k] = lane, size
+            sizes[lane] = size + len(texts[k])
+            heapq.heapreplace(shortest, (size + len(texts[k]), lane))
         rank = np.argsort(np.argsort(-sizes, kind="stable"), kind="stable")
         place[:, 0] = rank[place[:, 0]]
         sizes = -np.sort(-sizes)
@@ -356,17 +370,21 @@ def log_likelihoods(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each complete text."""
     params = network.params
     lanes = Lanes.of(texts, params.lanes)
-    found = np.zeros(lanes.targets.shape)
+    # Sums from each lane's begin; a lane is one long row.
+    total = np.zeros((len(lanes.sizes), len(lanes.targets) + 1))
+    found = total[:, 1:]
     state = np.zeros((len(lanes.sizes), params.hidden), np.float32)
     for steps, inputs, carry, targets, real in lanes.windows(params.window):
-        states, _ = network.forward(inputs, carry, state[: inputs.shape[1]])
-        part = np.zeros(targets.shape)
-        part[real] = network.output(states[real], targets[real])[0]
-        found[steps, : targets.shape[1]] = part
+        states, _ = network.forward(inputs, carry, state[: inputs.shape[1]], back=False)
+        if real.all():
+            logs = network.output(states.reshape(-1, params.hidden), targets.ravel())[0]
+            found[: targets.shape[1], steps] = logs.reshape(targets.shape).T
+        else:
+            found[: targets.shape[1], steps].T[real] = network.output(states[real], targets[real])[0]
         state = states[-1]
-    total = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found, axis=0)]) if len(found) else found
+    np.cumsum(found, axis=1, out=found)
     lane, at = lanes.place.T
-    return total[at + [len(t) for t in texts], lane] - total[at, lane] if len(texts) else np.zeros(0)
+    return total[lane, at + [len(t) for t in texts]] - total[lane, at] if len(texts) else np.zeros(0)
 
 
 # ---------------------------------------------------------------- over a corpus

@@ -142,3 +142,20 @@ def test_held_out_texts_are_told_better_than_by_counts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = recurrent_lm.score(docs).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_scoring_keeps_nothing_for_the_way_back_and_sums_each_lane():
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(2, 40, n), 0) for n in (70, 1, 33, 5, 90, 16)]  # up to the end token
+    vocabulary = recurrent_lm.Vocabulary(np.arange(38), np.arange(60, 22, -1), 6, 2000, 39, 40)
+    network = recurrent_lm.Network(vocabulary, recurrent_lm.Params(words=40, lanes=2)).start(vocabulary.mass)
+    inputs, carry = np.array([[1, 5], [6, 2]]), np.ones((2, 2, 1), np.float32)[..., 0]
+    state = np.zeros((2, network.params.hidden), np.float32)
+    states, steps = network.forward(inputs, carry, state, back=False)
+    assert steps == [] and np.array_equal(states, network.forward(inputs, carry, state)[0])
+    # Side by side or one at a time, a text's score is the same.
+    alone = [recurrent_lm.log_likelihoods(network, [t])[0] for t in texts]
+    assert np.allclose(recurrent_lm.log_likelihoods(network, texts), alone, atol=1e-4)
+    numbers = rng.integers(0, 70_000, 500)
+    assert np.array_equal(recurrent_lm._order(numbers, 70_000), np.argsort(numbers, kind="stable"))
+    assert np.array_equal(recurrent_lm._order(numbers % 300, 300), np.argsort(numbers % 300, kind="stable"))
