@@ -361,8 +361,9 @@ def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFr
     """Spans ``x, y, begin, end`` of the repeated windows of contexts that occur once, by digests.
 
     Windows are compared in ever smaller parts: a part whose core occurs once repeats
-    nowhere; if all parts of a core are equal, their windows repeat; the others are
-    parted again, down to single windows.  Rows meet in sums only, wherever they are.
+    nowhere; the windows of parts that are equal repeat; where parts of a core differ, one
+    of each kind is parted again, down to single windows.  Rows meet in sums only, wherever
+    they are.
     """
     pieces = stage(pieces.withColumn("number", F.monotonically_increasing_id()), "hot-pieces")
     every = F.struct(F.lit(0).cast("long").alias("low"), (F.octet_length("piece") - length + 1).cast("long").alias("high"))
@@ -373,20 +374,23 @@ def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFr
             _parts(length, width), "number long, low long, high long, c1 long, c2 long, w1 long, w2 long"
         )
         parts = stage(parts, "parts")
-        whole = F.struct("w1", "w2")
-        cores = parts.groupBy("c1", "c2").agg(F.count("*").alias("n"), (F.min(whole) == F.max(whole)).alias("same"))
-        cores = stage(cores.where("n > 1").select("c1", "c2", "same"), "cores")
-        met = stage(parts.join(cores, ["c1", "c2"]).select("number", "low", "high", "same"), "met-parts")
+        row = F.struct("number", "low", "high")
+        wholes = stage(parts.groupBy("c1", "c2", "w1", "w2").agg(F.count("*").alias("n"), F.min(row).alias("one")), "wholes")
+        mixed = stage(wholes.groupBy("c1", "c2").agg(F.count("*").alias("kinds")).where("kinds > 1").select("c1", "c2"), "cores")
+        equal = stage(wholes.where("n > 1").select("c1", "c2", "w1", "w2"), "equal-parts")
+        met = attach(parts, equal, ["c1", "c2", "w1", "w2"])
         # Ranges go back to their piece in one row, at most one range a window; the piece is not copied per range.
-        ranges = met.groupBy("number", "same").agg(F.collect_list(F.struct("low", "high")).alias("open"))
+        listed_ = F.collect_list(F.struct("low", "high")).alias("open")
+        ranges = met.groupBy("number").agg(listed_)
         covers = F.transform("open", lambda r: F.struct(r["low"].alias("begin"), (r["high"] - 1 + length).alias("end")))
-        found = ranges.where("same").select("number", _union()(covers).alias("spans"))
+        found = ranges.select("number", _union()(covers).alias("spans"))
         found = found.join(pieces.where("copies = 1").select("number", "x", "y", "begin"), "number")
         found = found.select("x", "y", "begin", F.explode("spans").alias("s")).select(
             "x", "y", (F.col("begin") + F.col("s.begin")).alias("begin"), (F.col("begin") + F.col("s.end")).alias("end")
         )
         spans = found if spans is None else spans.unionByName(found)
-        open_ = ranges.where("NOT same").drop("same").join(pieces, "number")
+        # Of equal parts one stands for all among the others of their core.
+        open_ = attach(wholes, mixed, ["c1", "c2"]).select("one.*").groupBy("number").agg(listed_).join(pieces, "number")
     return spans
 
 

@@ -226,3 +226,30 @@ def test_without_repeats_keeps_characters_whole(spark):
     texts = {r.doc_id: r.text for r in out.collect()}
     assert texts[3] is None and texts[2] == "züother" and "unlike" in texts[1] and "q" not in texts[1]
     assert out.columns == edge.frame(spark, [], clashes=True).columns
+
+
+def test_narrowing_parts_equal_stretches_once(spark, monkeypatch):
+    """Near copies that differ before their anchor: only one of equal parts is parted again."""
+    rng = random.Random(4)
+    length, gram = 40, 8
+    body = bytes(rng.randrange(97, 123) for _ in range(2 * length - gram))
+    pieces = [bytes(rng.randrange(97, 123) for _ in range(6)) + body[6:] for _ in range(120)] + [body[:-3] + b"END"]
+    schema = "h long, x long, y long, begin long, at long, copies long, piece binary"
+    df = spark.createDataFrame([(7, k, 0, 100 * k, length - gram, 1, bytearray(p)) for k, p in enumerate(pieces)], schema)
+    made = []
+    plain = suffix_dedup.stage
+
+    def counted(frame, name):
+        out = plain(frame, name)
+        made.extend([out.count()] if name == "parts" else [])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stage", counted)
+    found = suffix_dedup._narrowed(df, length, (16, 4, 1)).collect()
+    covered = {k: set() for k in range(len(pieces))}
+    for r in found:
+        covered[r.x].update(range(r.begin - 100 * r.x, r.end - 100 * r.x))
+    for k, again in enumerate(suffix_dedup.repeated_windows(pieces, length)):
+        assert covered[k] == {i + d for i in np.flatnonzero(again).tolist() for d in range(length)}
+    # A part of every piece goes on where they differ, of the others two: one of the copies and the last piece.
+    assert sum(made) < 15 * len(pieces)
