@@ -20,6 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -136,6 +137,32 @@ class Symbols(dict):
         return out
 
 
+class Inputs:
+    """Numbers of words as the network's symbols: 0 the end, 1 the rest, 2 and more its own words.
+
+    Words are told apart by keys until all the network's own have been met; from then on
+    any other word is of the rest, and none but the own ones are looked up.
+    """
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.size, self.own = vocabulary.size, vocabulary.own
+        self.symbols = Symbols(vocabulary)
+        self.met: dict[bytes, int] = {}
+
+    def of(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        return [self._row(text) for text in texts]
+
+    def _row(self, text: bytes | None) -> np.ndarray:
+        if len(self.met) < self.own:
+            row = inside(self.symbols.of([text])[0], self.size)
+            self.met |= {w: k for w, k in zip(words_of(text), row.tolist(), strict=False) if k > 1}
+            return row
+        found = words_of(text)
+        row = np.zeros(len(found) + 1, np.int32)
+        row[:-1] = np.fromiter(map(self.met.get, found, repeat(1)), np.int32, len(found))
+        return row
+
+
 # ---------------------------------------------------------------- network
 
 PARTS = ("enter", "bias", "keep", "pick", "pick_bias", "word", "word_bias")
@@ -247,17 +274,23 @@ class Network:
             back = shares @ self.pick
         order = _order(kind, self.classes)
         cuts = np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
+        # Put in order once, so that each class is a stretch of rows.
+        states, place = states[order], place[order]
+        logs_there = np.empty(len(order), logs.dtype)
+        back_there = None if grad is None else np.empty_like(states)
         for c in range(self.classes):
-            some = order[cuts[c] : cuts[c + 1]]
-            if not len(some):
+            some = slice(cuts[c], cuts[c + 1])
+            if cuts[c] == cuts[c + 1]:
                 continue
             own, at = states[some], slice(c * s, (c + 1) * s)
-            found, shares = self.log_softmax(own, self.word[at], self.word_bias[at], place[some], grad is not None, most[c])
-            logs[some] += found
+            logs_there[some], shares = self.log_softmax(own, self.word[at], self.word_bias[at], place[some], grad is not None, most[c])
             if grad is not None:
                 grad.word[at] += shares.T @ own
                 grad.word_bias[at] += shares.sum(axis=0)
-                back[some] += shares @ self.word[at]
+                np.matmul(shares, self.word[at], out=back_there[some])
+        logs[order] += logs_there
+        if grad is not None:
+            back[order] += back_there
         return logs, back
 
     def backward(self, inputs: np.ndarray, carry: np.ndarray, steps: list[tuple], back: np.ndarray, grad: Network) -> None:
@@ -423,14 +456,14 @@ def _averaged(copies: DataFrame, size: int) -> np.ndarray | None:
 
 def _trained(vocabulary: Vocabulary, params: Params, flat: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        symbols = Symbols(vocabulary)
+        inputs = Inputs(vocabulary)
         network = Network(vocabulary, params, flat.copy())
         sums = np.full_like(flat, 1e-6)
         tokens = part = 0
         held: list[np.ndarray] = []
         for frame in frames:
             part = part or int(frame["part"].iloc[0])
-            held += [inside(t, vocabulary.size) for t in symbols.of(list(frame["text"]))]
+            held += inputs.of(list(frame["text"]))
             if sum(map(len, held)) >= params.group:
                 tokens += train(network, held, sums)
                 held = []

@@ -159,3 +159,17 @@ def test_scoring_keeps_nothing_for_the_way_back_and_sums_each_lane():
     numbers = rng.integers(0, 70_000, 500)
     assert np.array_equal(recurrent_lm._order(numbers, 70_000), np.argsort(numbers, kind="stable"))
     assert np.array_equal(recurrent_lm._order(numbers % 300, 300), np.argsort(numbers % 300, kind="stable"))
+
+
+def test_training_looks_rare_words_up_only_until_the_network_s_own_are_met():
+    key = recurrent_lm.xxhash.xxh3_64_intdigest
+    keys = np.array([key(w) for w in (b"a", b"b", b"c", b"d")], np.uint64).view(np.int64)
+    vocabulary = Vocabulary(keys, np.array([9, 8, 7, 6]), 5, 40, 10, 5)  # its own are a, b and c
+    texts = [b"d B x", None, b"a  q", b"c\tx", b"a z d y b", b"", b"u v\x0bc"]
+    symbols, inputs = recurrent_lm.Symbols(vocabulary), recurrent_lm.Inputs(vocabulary)
+    want = [recurrent_lm.inside(t, vocabulary.size).tolist() for t in symbols.of(texts)]
+    assert [t.tolist() for t in inputs.of(texts)] == want == [[1, 3, 1, 0], [0], [2, 1, 0], [4, 1, 0], [2, 1, 1, 1, 3, 0], [0], [1, 1, 4, 0]]
+    assert b"z" in symbols and b"x" in inputs.symbols and not {b"z", b"y", b"u", b"v"} & inputs.symbols.keys()
+    # Without a word of its own, the network has the rest alone.
+    none = Vocabulary(keys[:0], np.zeros(0, np.int64), 0, 0, 0, 5)
+    assert [t.tolist() for t in recurrent_lm.Inputs(none).of([b"a b", b""])] == [[1, 1, 0], [0]]
