@@ -165,11 +165,11 @@ def is_private(address: Column) -> Column:
 def direction_id(here: Column, there: Column, declared: Column | None = None) -> Column:
     """1 inbound, 2 outbound, 3 lateral, 0 unknown; a declared direction wins.
 
-    ``here`` and ``there`` tell whether source and target are private; they are read
-    several times, so they should be columns that hold the outcome of ``is_private``.
+    ``here`` and ``there`` tell whether source and target are private; each is read
+    once, so that the outcome of ``is_private`` needs no row of its own to hold it.
     """
-    rules = [] if declared is None else [(declared == "ingress", 1), (declared == "egress", 2)]
-    return first_match([*rules, (here & there, 3), (here & ~there, 2), (~here & there, 1)], 0)
+    ends = F.coalesce(here.cast("int") * 2 + there.cast("int"), F.lit(0))
+    return ends if declared is None else first_match([(declared == "ingress", 1), (declared == "egress", 2)], ends)
 
 
 def direction_name(direction: Column) -> Column:
@@ -238,8 +238,13 @@ def _observable(name: str, kind: str, value: Column) -> Column:
 
 
 def observables(items: Iterable[tuple[str, str, Column]]) -> Column:
-    """(name, type, value) structs, leaving out those without a value."""
-    return F.filter(F.array(*(_observable(*item) for item in items)), lambda x: x["value"].isNotNull())
+    """(name, type, value) structs, leaving out those without a value.
+
+    Arrays of one or none are joined, as functions with a lambda are not compiled.
+    """
+    none = F.array().cast(f"array<{OBSERVABLE}>")
+    made = (F.when(value.cast("string").isNotNull(), F.array(_observable(name, kind, value))).otherwise(none) for name, kind, value in items)
+    return F.concat(*made)
 
 
 def observables_of(name: str, kind: str, values: Column) -> Column:

@@ -468,3 +468,28 @@ def test_layers_can_be_chosen(spark, tmp_path):
 def test_gold_filters_before_and_after(spark):
     spec = GoldSpec(name="g", input="s", filter="id > 2", fields=(Field("twice", "id * 2"),), post_filter="twice < 12")
     assert [r[0] for r in to_gold(spark.range(10), spec).collect()] == [6, 8, 10]
+
+
+# -- one reading of each value -----------------------------------------------------------
+
+
+def test_observables_are_compiled_and_leave_out_missing_values(spark):
+    made = n.observables([("a", "A", F.col("id")), ("b", "B", F.when(F.col("id") > 0, F.lit("x")))])
+    df = spark.range(2).select(made.alias("o"))
+    assert "lambda" not in plan(df)
+    assert [[tuple(o) for o in r.o] for r in df.collect()] == [[("a", "A", "0")], [("a", "A", "1"), ("b", "B", "x")]]
+    none = spark.range(1).select(n.observables([("a", "A", n.null_of("string"))]).alias("o"))
+    assert none.first().o == []
+
+
+def test_direction_reads_each_end_once(spark):
+    ends = [(a, b, d) for a in (True, False, None) for b in (True, False, None) for d in ("ingress", "egress", "x", None)]
+    df = spark.createDataFrame(ends, "a boolean, b boolean, d string")
+    code = n.direction_id(F.col("a"), F.col("b"), F.col("d"))
+    alone = n.direction_id(F.col("a"), F.col("b"))
+    known = {(True, True): 3, (True, False): 2, (False, True): 1}
+    for r in df.select("*", code.alias("code"), alone.alias("alone")).collect():
+        assert r.alone == known.get((r.a, r.b), 0)
+        assert r.code == {"ingress": 1, "egress": 2}.get(r.d, r.alone)
+    held = df.select(n.is_private(F.col("d")).alias("p"), n.is_private(F.concat("d", F.lit("."))).alias("q"))
+    assert plan(held.select(n.direction_id(F.col("p"), F.col("q")))).count("Project") == 1
