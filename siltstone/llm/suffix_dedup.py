@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import Columns, as_documents, attach, free_name, map_groups, stage, text_key
+from siltstone.llm.common import Columns, as_documents, attach, free_name, map_groups, shuffled, stage, text_key
 
 SPAN = 1 << 26  # bytes of one text looked at together; longer texts go on with an overlap
 # What a passage of over 50 words comes to at least, at four letters and a blank a word.
@@ -384,13 +384,13 @@ def _narrowed(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFr
         ranges = met.groupBy("number").agg(listed_)
         covers = F.transform("open", lambda r: F.struct(r["low"].alias("begin"), (r["high"] - 1 + length).alias("end")))
         found = ranges.select("number", _union()(covers).alias("spans"))
-        found = found.join(pieces.where("copies = 1").select("number", "x", "y", "begin"), "number")
+        found = shuffled(found, pieces.where("copies = 1").select("number", "x", "y", "begin"), ["number"])
         found = found.select("x", "y", "begin", F.explode("spans").alias("s")).select(
             "x", "y", (F.col("begin") + F.col("s.begin")).alias("begin"), (F.col("begin") + F.col("s.end")).alias("end")
         )
         spans = found if spans is None else spans.unionByName(found)
         # Of equal parts one stands for all among the others of their core.
-        open_ = attach(wholes, mixed, ["c1", "c2"]).select("one.*").groupBy("number").agg(listed_).join(pieces, "number")
+        open_ = shuffled(attach(wholes, mixed, ["c1", "c2"]).select("one.*").groupBy("number").agg(listed_), pieces, ["number"])
     return spans
 
 
@@ -405,8 +405,8 @@ def repeated_spans(texts: DataFrame, params: Params) -> DataFrame:
         F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
     again = anchors.where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"))
-    # Written first, the small side is a plain scan, and AQE can split the tasks of a hot anchor.
-    met = stage(occurrences.join(stage(again, "anchors-again"), "h"), "repeated-anchors")
+    # Written first, both sides are plain scans, and AQE can split the tasks of a hot anchor.
+    met = stage(shuffled(occurrences, stage(again, "anchors-again"), ["h"]), "repeated-anchors")
     span = ["x", "y", "begin", (F.col("end") + params.length).alias("end")]
     spans = met.where("NOT mixed").select(*span)
 
@@ -418,9 +418,9 @@ def repeated_spans(texts: DataFrame, params: Params) -> DataFrame:
 
     counts = stage(distinct.groupBy("h").agg(F.count("*").alias("contexts")), "context-counts")
     told = F.struct("h", "one.begin", "one.end", "one.at", "copies", "contexts").alias("w")
-    wanted = distinct.join(counts, "h").select("one.x", "one.y", told)
+    wanted = shuffled(distinct, counts, ["h"]).select("one.x", "one.y", told)
     wanted = wanted.groupBy("x", "y").agg(F.collect_list("w").alias("wanted"))  # at most some per 100 bytes of one text
-    fetched = long_enough.join(wanted, ["x", "y"]).dropDuplicates(["x", "y"]).select("x", "y", "text", "wanted")
+    fetched = shuffled(long_enough, wanted, ["x", "y"]).dropDuplicates(["x", "y"]).select("x", "y", "text", "wanted")
     pieces = stage(fetched.mapInPandas(_contexts(params.length), PIECE), "pieces")
     small = pieces.where(F.col("contexts") <= params.group_contexts).drop("contexts")
     spans = spans.unionByName(map_groups(small, ["h"], _sort_groups(params), "x long, y long, begin long, end long"))

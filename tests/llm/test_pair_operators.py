@@ -253,3 +253,13 @@ def test_narrowing_parts_equal_stretches_once(spark, monkeypatch):
         assert covered[k] == {i + d for i in np.flatnonzero(again).tolist() for d in range(length)}
     # A part of every piece goes on where they differ, of the others two: one of the copies and the last piece.
     assert sum(made) < 15 * len(pieces)
+
+
+def test_salted_copies_are_not_broadcast(spark, monkeypatch):
+    """The optimizer thinks of them as one copy, on disk; the driver would hold all."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 100)
+    small = common.stage(spark.range(0, 2000, 2).selectExpr("id AS k", "id * 7 AS v"), "small")
+    rows = common.stage(spark.range(3000).selectExpr("id % 30 AS k", "id AS n"), "rows")
+    out = common.attach(rows, small, ["k"])
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert edge.rows_of(out.select("k", "n", "v")) == sorted(((n % 30, n, n % 30 * 7) for n in range(3000) if n % 2 == 0), key=repr)
