@@ -512,17 +512,17 @@ def _within(keyed: DataFrame, passages: DataFrame, params: Params) -> DataFrame:
     altogether; of the distinct runs one copy each is searched.
     """
     reach = F.array_max(F.col("passages.end")) - F.array_min(F.col("passages.begin"))
-    texts = keyed.select("x", "y", F.col("text").cast("binary").alias("text")).join(passages.where(reach >= params.length), ["x", "y"])
+    texts = shuffled(keyed.select("x", "y", F.col("text").cast("binary").alias("text")), passages.where(reach >= params.length), ["x", "y"])
     runs = stage(texts.mapInPandas(_segments(params.length), SEGMENT), "runs")
     alike = runs.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("x", "y", "at")).alias("one"))
     alike = stage(alike, "run-copies")
     many = alike.where("copies > 1").select("c1", "c2")
     whole = attach(runs.select("x", "y", "at", "c1", "c2", F.octet_length("piece").alias("n")), stage(many, "repeated-runs"), ["c1", "c2"])
     spans = whole.select("x", "y", F.col("at").alias("begin"), (F.col("at") + F.col("n")).alias("end"))
-    ones = alike.select("c1", "c2", "one.*").join(runs, ["c1", "c2", "x", "y", "at"]).dropDuplicates(["c1", "c2"])
+    ones = shuffled(alike.select("c1", "c2", "one.*"), runs, ["c1", "c2", "x", "y", "at"]).dropDuplicates(["c1", "c2"])
     found = repeated_spans(stage(ones.select(F.col("c1").alias("x"), F.col("c2").alias("y"), F.col("piece").alias("text")), "distinct-runs"), params)
     single = alike.where("copies = 1").select(F.col("c1"), F.col("c2"), "one.*")
-    found = found.withColumnsRenamed({"x": "c1", "y": "c2"}).join(single, ["c1", "c2"])
+    found = shuffled(found.withColumnsRenamed({"x": "c1", "y": "c2"}), single, ["c1", "c2"])
     return spans.unionByName(found.select("x", "y", (F.col("begin") + F.col("at")).alias("begin"), (F.col("end") + F.col("at")).alias("end")))
 
 
@@ -562,7 +562,7 @@ def dedup(
     keyed = docs.withColumns(dict(zip("xy", text_key("doc_id", "text"), strict=True)))
     short = stage(removals(keyed, "x", "y", "text", replace(params, length=passage)).withColumnRenamed("spans", "passages"), "passages")
     long = listed(_within(keyed, short, params))
-    out = keyed.join(short, ["x", "y"], "left").join(long, ["x", "y"], "left")
+    out = shuffled(keyed, short, ["x", "y"], "left").join(long, ["x", "y"], "left")
     return out.select("doc_id", _digests()(F.col("text").cast("binary"), F.col("spans"), F.col("passages")).alias("d")).select("doc_id", "d.*")
 
 

@@ -263,3 +263,23 @@ def test_salted_copies_are_not_broadcast(spark, monkeypatch):
     out = common.attach(rows, small, ["k"])
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert edge.rows_of(out.select("k", "n", "v")) == sorted(((n % 30, n, n % 30 * 7) for n in range(3000) if n % 2 == 0), key=repr)
+
+
+def test_tables_of_repeats_are_not_broadcast_by_their_size_on_disk(spark, monkeypatch):
+    """Only what was counted small may be; salted copies and decoded pieces would all lie in the driver's memory."""
+    plans = []
+    plain = common.stage
+
+    def seen(df, purpose):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, purpose)
+
+    monkeypatch.setattr(suffix_dedup, "stage", seen)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    params = suffix_dedup.Params(length=40, gram=12, group_contexts=2)
+    rows = [r for r in edge.documents() if len(r[1] or "") < 20_000]
+    out = suffix_dedup.dedup(edge.frame(spark, rows), params=params, passage=25)
+    plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    assert len(plans) > 20
+    assert [purpose for purpose, plan in plans if "Broadcast" in plan] == []
+    assert edge.rows_of(out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == expected_cut(rows, 40)
