@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import samples
 from siltstone.functions import normalize as n
+from siltstone.operators import lookups
 from siltstone.operators.fields import captured_names, output_columns
 from siltstone.operators.ingest import to_bronze
 from siltstone.operators.layers import explode_elements, to_gold, to_silver
@@ -309,6 +310,29 @@ def test_small_outer_lookups_spread_keys_that_repeat_on_both_sides(spark, how, f
     assert len(sizes) >= 8 and max(sizes) < sum(sizes) / 4
 
 
+@pytest.mark.parametrize("how", ["right", "full"])
+@pytest.mark.parametrize("form", [{"salt": 4}, {"hot_keys": True}])
+@pytest.mark.parametrize("kind", ["BIGINT", "STRING", "DOUBLE"])
+def test_outer_lookups_joined_in_runs_keep_every_row(spark, monkeypatch, how, form, kind):
+    """Keys with many lookup rows, one or none, null keys and rows that come twice, on both sides."""
+    monkeypatch.setattr(lookups, "RUN", 4)
+    main = spark.range(400).selectExpr(f"IF(id % 10 = 0, NULL, CAST(id % 3 AS {kind})) as k", "id % 90 as runs")
+    side = spark.range(60).selectExpr(f"IF(id % 7 = 0, NULL, CAST(IF(id < 3, 90 + id, id * id % 5) AS {kind})) as k", "id % 40 as v")
+    joined = apply_lookups(main, [_lookup(side, how=how, **form)])
+    assert ("__run" in plan(joined)) == (kind != "DOUBLE")
+    assert rows(joined) == rows(main.join(side.toDF("l_k", "l_v"), F.col("k") == F.col("l_k"), how))
+
+
+def test_rows_of_keys_that_repeat_on_both_sides_are_stored_small(spark, tmp_path):
+    """Two million rows made of two keys: neighbours repeat, so that a file needs a fraction of a byte a row."""
+    main = spark.range(1000).selectExpr("id % 2 as k", "id")
+    side = spark.range(4000).selectExpr("id % 2 as k", "id as v")
+    joined = apply_lookups(main, [_lookup(side, how="right", salt=4)])
+    joined.write.option("compression", "snappy").parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2_000_000
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.6 * 2_000_000
+
+
 def test_a_hot_key_is_spread_over_salts(spark, salted):
     """A third of the rows share one key; with salts no task gets them all."""
     main = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END as k", "id")
